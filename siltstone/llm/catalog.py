@@ -11,7 +11,7 @@ STAND_INS = (
     "unspecified", "tbd", "tba", "todo", "missing", "empty", "not available", "not provided", "not specified",
 )
 NO_CLUSTER = (*STAND_INS, "unclustered", "not clustered", "no cluster", "noise", "singleton")
-NO_LICENSE = (*STAND_INS, "noassertion", "no assertion", "no license", "unlicensed?", "see license")
+NO_LICENSE = (*STAND_INS, "noassertion", "no assertion", "no license")
 NO_SCAN = (*STAND_INS, "pending", "not scanned", "unscanned", "scan pending", "not run", "queued")
 NO_DESCRIPTION = (
     *STAND_INS, "no description", "no description provided", "no description available", "description goes here",

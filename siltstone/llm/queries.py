@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.llm import catalog as C
 from siltstone.llm.components import group_records
 from siltstone.llm.nearpairs import near_duplicate_pairs
+from siltstone.llm.survivors import Field, survivors
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +35,33 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_records(skills, "id", F.concat(F.lit("id "), own), links).withColumnRenamed("record", "skill_id")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving value of each field of the skills under one canonical_id."""
+    seen = (
+        _read(spark, sf_dir, "skills")
+        .select(F.col("id").alias("skill_id"), C.moment(F.col("first_seen")).alias("at"))
+        .groupBy("skill_id")
+        .agg(F.max("at").alias("at"))
+    )
+    meta = _read(spark, sf_dir, "skill_metadata").select(
+        "skill_id", "canonical_id", "trust_tier", "description", "license", "security", "install_npx"
+    )
+    found = survivors(
+        meta.where("canonical_id is not null").join(seen, "skill_id", "left"),
+        C.skill_key(F.col("canonical_id")),
+        F.col("skill_id"),
+        C.tier_rank(F.col("trust_tier")),
+        F.col("at"),
+        [
+            Field("description", C.NO_DESCRIPTION, drop_cut_beginnings=True, by_length=True),
+            Field("license", C.NO_LICENSE),
+            Field("security", C.NO_SCAN),
+            Field("install_npx", C.STAND_INS, by_length=True),
+        ],
+    )
+    return found.withColumnsRenamed({"group_id": "canonical_id", "record": "skill_id"})
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of skills with nearly the same description."""
     pairs = near_duplicate_pairs(_read(spark, sf_dir, "skill_metadata"), "skill_id", "description")
