@@ -16,7 +16,7 @@ cover all bags.
 
 Bands.  ``bands`` x ``rows`` coordinates; a pair is a candidate when all rows
 of some band agree.  Before anything is kept, the join itself applies an exact
-bound: each bag carries a 64-bit parity sketch (each element flips one bit),
+bound: each bag carries a 128-bit parity sketch (each element flips one bit),
 and two bags can't differ in fewer elements than their sketches differ in
 bits.  This loses no pair.  What passes is compared exactly, in integers.
 
@@ -31,7 +31,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import bags as B
@@ -41,6 +41,7 @@ UNIVERSE = 1 << 20
 COMMON = 20  # elements in more than 1/20 of all bags have a weight below the largest
 TOP_WEIGHT = float(np.log(COMMON))
 SEED = 20210907
+BAND_ROW = "key long, bag_id long, s1 long, s2 long, size int"
 _tables: dict[int, np.ndarray] = {}
 
 
@@ -78,9 +79,13 @@ def _band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-def _parity(elems: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64-bit sketch of each bag: each element flips one bit."""
-    return np.bitwise_xor.reduceat(np.uint64(1) << (elems >> np.uint64(58)), starts)
+def _parity(elems: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit sketch of each bag, as two halves: each element flips one bit."""
+    bit = np.uint64(1) << (elems >> np.uint64(58))
+    upper = (elems >> np.uint64(57)) & np.uint64(1) == 1
+    return tuple(
+        np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), starts).view(np.int64) for half in (upper, ~upper)
+    )
 
 
 def _non_empty(batch: pa.RecordBatch) -> bool:
@@ -118,7 +123,7 @@ def weigh(elems: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarra
 
 
 def band_rows(classes: DataFrame, common: tuple[np.ndarray, np.ndarray], bands: int, rows: int) -> DataFrame:
-    """One row per bag and band: key, bag_id, parity sketch, bag size."""
+    """One row per bag and band: key, bag_id, parity sketch (two halves), bag size."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filter(_non_empty, batches):
@@ -129,24 +134,36 @@ def band_rows(classes: DataFrame, common: tuple[np.ndarray, np.ndarray], bands:
                 [
                     pa.array(keys.reshape(-1).view(np.int64)),
                     pa.array(np.tile(ids, bands)),
-                    pa.array(np.tile(_parity(elems, starts).view(np.int64), bands)),
+                    *(pa.array(np.tile(half, bands)) for half in _parity(elems, starts)),
                     pa.array(np.tile(sizes.astype(np.int32), bands)),
                 ],
-                ["key", "bag_id", "sketch", "size"],
+                ["key", "bag_id", "s1", "s2", "size"],
             )
 
-    return classes.select("bag_id", "bag").mapInArrow(sign, "key long, bag_id long, sketch long, size int")
+    return classes.select("bag_id", "bag").mapInArrow(sign, BAND_ROW)
+
+
+def side(banded: DataFrame, name: str, *more: str) -> DataFrame:
+    """One side of a join of band rows: all columns but the key with a suffix."""
+    return banded.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("bag_id", "s1", "s2", "size", *more)))
+
+
+def sketches_allow(threshold: float) -> Column:
+    """Whether the sketches of both sides of a join leave room for the threshold.
+
+    |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|) at similarity t or more.
+    """
+    t = Fraction(threshold).limit_denominator(1000)
+    bits = lambda s: F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b")))
+    apart = (bits("s1") + bits("s2")) * (t.denominator + t.numerator)
+    return apart <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
 
 
 def candidates(banded: DataFrame, threshold: float) -> DataFrame:
     """Distinct (a, b), a < b, of bags that share a band and pass the exact sketch bound."""
-    t = Fraction(threshold).limit_denominator(1000)
-    a = banded.select("key", F.col("bag_id").alias("a"), F.col("sketch").alias("sa"), F.col("size").alias("na"))
-    b = banded.select("key", F.col("bag_id").alias("b"), F.col("sketch").alias("sb"), F.col("size").alias("nb"))
-    # |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|) at similarity t or more
-    apart = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) * (t.denominator + t.numerator)
-    near = apart <= (F.col("na") + F.col("nb")) * (t.denominator - t.numerator)
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    met = side(banded, "a").join(side(banded, "b"), "key")
+    near = met.where((F.col("bag_id_a") < F.col("bag_id_b")) & sketches_allow(threshold))
+    return near.select(F.col("bag_id_a").alias("a"), F.col("bag_id_b").alias("b")).distinct()
 
 
 def shared_counts(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,8 +216,8 @@ class NearPairs:
         text_col: str,
         threshold: float = 0.7,
         min_words: int = 8,
-        bands: int = 30,
-        rows: int = 4,
+        bands: int = 20,
+        rows: int = 3,
     ):
         bagged = B.with_bag(df, id_col, text_col, min_words)
         self.members = bagged.select("item", "bag_id").distinct()
