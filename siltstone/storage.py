@@ -39,10 +39,16 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    _written.append((spark, path))
+    register_path(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def register_path(spark: SparkSession, path: str) -> None:
+    """Have ``path`` deleted with the other tables of this process."""
+    if (spark, path) not in _written:
+        _written.append((spark, path))
+
+
 def drop_tables() -> None:
     """Delete the tables written by this process (also run at its end)."""
     while _written:
