@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import catalog as C
 from siltstone.llm.components import group_records
+from siltstone.llm.history import check_in_batches
 from siltstone.llm.nearpairs import near_duplicate_pairs
 from siltstone.llm.survivors import Field, survivors
 
@@ -62,6 +63,25 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"group_id": "canonical_id", "record": "skill_id"})
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skills that repeat the content or the description of a skill of an earlier batch."""
+    crawls = (
+        _read(spark, sf_dir, "crawl_state")
+        .where("head_sha is not null and crawled_at is not null")
+        .groupBy(F.lower("head_sha").alias("sha"))
+        .agg(F.min(F.unix_micros("crawled_at")).alias("crawled"))
+    )
+    skills = _read(spark, sf_dir, "skills").select(
+        F.col("id").alias("item"), F.lower("source.commit").alias("sha"), C.moment(F.col("first_seen")).alias("seen")
+    )
+    arrivals = skills.join(crawls, "sha", "left").groupBy("item").agg(F.min(F.coalesce("crawled", "seen")).alias("at"))
+    meta = _read(spark, sf_dir, "skill_metadata").select(
+        F.col("skill_id").alias("item"), C.digest_key(F.col("content_hash")).alias("digest"), F.col("description").alias("text")
+    )
+    checked = check_in_batches(spark, meta.join(arrivals, "item"))
+    return checked.where("copied or near").select(F.col("item").alias("skill_id")).distinct()
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of skills with nearly the same description."""
     pairs = near_duplicate_pairs(_read(spark, sf_dir, "skill_metadata"), "skill_id", "description")
