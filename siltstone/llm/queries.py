@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.llm import catalog as C
 from siltstone.llm.components import group_records
 from siltstone.llm.history import check_in_batches
+from siltstone.llm.lexicon import encode
 from siltstone.llm.nearpairs import near_duplicate_pairs
 from siltstone.llm.survivors import Field, survivors
 
@@ -88,6 +89,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumnsRenamed({"item_1": "skill_id_1", "item_2": "skill_id_2"})
 
 
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document."""
+    return encode(_read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
