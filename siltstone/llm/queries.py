@@ -12,6 +12,8 @@ from siltstone.llm.components import group_records
 from siltstone.llm.history import check_in_batches
 from siltstone.llm.lexicon import encode
 from siltstone.llm.nearpairs import near_duplicate_pairs
+from siltstone.llm.packing import pack, sized
+from siltstone.llm.splitting import split
 from siltstone.llm.survivors import Field, survivors
 
 
@@ -94,6 +96,17 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a container of 4096 tokens."""
+    packed = pack(sized(_read(spark, sf_dir, "documents"), "doc_id", "text"), 4096)
+    return packed.withColumnsRenamed({"bin": "container_id", "item": "doc_id", "size": "n_tokens", "load": "container_tokens"})
+
+
+def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of more than 1024 tokens in pieces that share up to 128 tokens."""
+    return split(_read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
