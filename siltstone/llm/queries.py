@@ -11,6 +11,7 @@ from siltstone.llm import catalog as C
 from siltstone.llm.components import group_records
 from siltstone.llm.history import check_in_batches
 from siltstone.llm.lexicon import encode
+from siltstone.llm.licenses import file_licenses
 from siltstone.llm.nearpairs import near_duplicate_pairs
 from siltstone.llm.packing import pack, sized
 from siltstone.llm.splitting import split
@@ -91,6 +92,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumnsRenamed({"item_1": "skill_id_1", "item_2": "skill_id_2"})
 
 
+def p5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license of each file and repository, with evidence, class and verdict."""
+    return file_licenses(_read(spark, sf_dir, "repo_files"), _read(spark, sf_dir, "license_texts"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license and verdict of each file and repository."""
+    return p5_licenses(spark, sf_dir).select("repo", "path", "spdx", "verdict")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
     return encode(_read(spark, sf_dir, "documents"), "doc_id", "text")
