@@ -49,7 +49,7 @@ def invisible_characters(docs: DataFrame, record: str, content: str) -> DataFram
     lines = docs.where(F.col(content).rlike(R.INVISIBLE)).select(record, F.posexplode(F.split(content, "\n")).alias("at", "text"))
     hits = F.regexp_extract_all("text", F.lit(R.INVISIBLE), F.lit(0))
     found = lines.select(record, (F.col("at") + 1).alias("line"), F.explode(hits).alias("c"))
-    return found.select(record, "line", F.conv(F.hex(F.encode("c", "UTF-32BE")), 16, 10).cast("int").alias("code_point"))
+    return found.select(record, "line", F.ascii("c").alias("code_point"))
 
 
 def capabilities(content: Column, has_scripts: Column | None = None) -> Column:

@@ -10,13 +10,17 @@ re-read, never a recomputation of the whole lineage.
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CODEC = "zstd"
 _written: list[tuple[object, str]] = []
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +53,30 @@ def register_path(spark: SparkSession, path: str) -> None:
         _written.append((spark, path))
 
 
+def write_bytes(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a file to the shared folder; gives its path."""
+    path = f"{shared_dir(spark)}/{name}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(data))
+    stream.close()
+    register_path(spark, path)
+    return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Have the executors fetch this package, once per application, so that nothing need be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root, packed = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, f"{root.name}/{source.relative_to(root).as_posix()}")
+    sc.addPyFile(write_bytes(spark, f"{root.name}-{uuid.uuid4().hex}.zip", packed.getvalue()))
+    _shipped.add(sc.applicationId)
+
+
 def drop_tables() -> None:
     """Delete the tables written by this process (also run at its end)."""
     while _written:
