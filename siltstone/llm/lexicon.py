@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import tokens as T
-from siltstone.storage import register_path, shared_dir
+from siltstone.storage import write_bytes
 
 MAX_WORDS = 30_000  # a lexicon only saves merging, so its size changes no result
 MAX_BYTES = 64
@@ -150,14 +150,7 @@ def frequent_words(docs: DataFrame, text_col: str, most: int = MAX_WORDS) -> lis
 def publish(spark: SparkSession, lexicon: Lexicon) -> str:
     """Write the lexicon to the shared folder and have every executor fetch it; gives its file name."""
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = f"{shared_dir(spark)}/{name}"
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
-    stream.write(bytearray(lexicon.dump()))
-    stream.close()
-    register_path(spark, path)
-    spark.sparkContext.addFile(path)
+    spark.sparkContext.addFile(write_bytes(spark, name, lexicon.dump()))
     return name
 
 
