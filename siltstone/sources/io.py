@@ -24,10 +24,10 @@ def read_raw(spark: SparkSession, directory: str) -> DataFrame:
 
 def read_keyed_jsonl(spark: SparkSession, path: str, schema: str, key: str = "id") -> DataFrame:
     """The last row of each key of JSONL files."""
-    df = spark.read.schema(schema).json(path).where(F.col(key).isNotNull())
-    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    everything = F.struct(*df.columns)
-    return df.groupBy(key).agg(F.max_by(everything, place).alias("_row")).select("_row.*")
+    df = spark.read.schema(schema).json(path)
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("at"))
+    placed = df.select(F.struct(*df.columns).alias("_row"), place.alias("_place")).where(F.col(f"_row.{key}").isNotNull())
+    return placed.groupBy(F.col(f"_row.{key}").alias("_key")).agg(F.max_by("_row", "_place").alias("_row")).select("_row.*")
 
 
 def read_sources(spark: SparkSession, path: str, schema: str) -> DataFrame:
