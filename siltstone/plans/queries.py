@@ -16,6 +16,7 @@ from siltstone.functions import text as T
 from siltstone.operators import changes, crawl, dedup, frontmatter, gates, keywords, licenses, neardup, quality, refs, search, security, stats
 from siltstone.plans import catalog
 from siltstone.sources import io
+from siltstone.storage import spread
 from siltstone.streaming.changes import event_windows
 
 HOST = "githost.example"
@@ -38,8 +39,12 @@ def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in _REGISTRY.items() if sql}
 
 
+TEXTS = ("documents", "repo_files")  # tables whose rows take work
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
 
 
 def _skills(spark: SparkSession, d: str) -> DataFrame:
@@ -771,7 +776,7 @@ _COMPACT = f"""(SELECT DISTINCT id, coalesce(name, '') AS n, CASE WHEN length(de
 
 
 @query(f"SELECT * FROM {_COMPACT}")
-def router_lite_record(spark, d):
+def compact_record(spark, d):
     s = table(spark, d, "skills")
     keep = keywords.eligible(F.col("id"), F.col("dedup.canonical_id"), F.col("status"), F.col("security.status"))
     or_else = lambda c, x: F.coalesce(F.col(c), F.lit(x))
@@ -785,7 +790,7 @@ def router_lite_record(spark, d):
 @query()
 def shard_assignment(spark, d):
     """Shards of at most 64 KiB of descriptions per tier, filled in the order of ids."""
-    sized = router_lite_record(spark, d).groupBy("id").agg(F.max("tier").alias("tier"), F.max(F.octet_length("d") + 1).cast("long").alias("bytes"))
+    sized = compact_record(spark, d).groupBy("id").agg(F.max("tier").alias("tier"), F.max(F.octet_length("d") + 1).cast("long").alias("bytes"))
     return keywords.greedy_shards(sized, "tier", "id", "bytes", 64 << 10)
 
 

@@ -47,6 +47,16 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan's rows over all cores, if it has fewer splits than there are cores (a small table in one file).
+
+    Tables of many splits stay as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if 0 < splits < cores else df
+
+
 def register_path(spark: SparkSession, path: str) -> None:
     """Have ``path`` deleted with the other tables of this process."""
     if (spark, path) not in _written:
