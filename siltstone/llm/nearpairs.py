@@ -16,7 +16,7 @@ cover all bags.
 
 Bands.  ``bands`` x ``rows`` coordinates; a pair is a candidate when all rows
 of some band agree.  Before anything is kept, the join itself applies an exact
-bound: each bag carries a 128-bit parity sketch (each element flips one bit),
+bound: each bag carries a 116-bit parity sketch (each element flips one bit),
 and two bags can't differ in fewer elements than their sketches differ in
 bits.  This loses no pair.  What passes is compared exactly, in integers.
 
@@ -41,7 +41,9 @@ UNIVERSE = 1 << 20
 COMMON = 20  # elements in more than 1/20 of all bags have a weight below the largest
 TOP_WEIGHT = float(np.log(COMMON))
 SEED = 20210907
-BAND_ROW = "key long, bag_id long, s1 long, s2 long, size int"
+SIZE_BITS = 12
+NO_BOUND = (1 << SIZE_BITS) - 1  # the size of bags too large for a sketch to say anything
+BAND_ROW = "key long, bag_id long, s1 long, s2 long"
 _tables: dict[int, np.ndarray] = {}
 
 
@@ -79,13 +81,13 @@ def _band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-def _parity(elems: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit sketch of each bag, as two halves: each element flips one bit."""
-    bit = np.uint64(1) << (elems >> np.uint64(58))
-    upper = (elems >> np.uint64(57)) & np.uint64(1) == 1
-    return tuple(
-        np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), starts).view(np.int64) for half in (upper, ~upper)
-    )
+def _sketch(elems: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """116-bit parity sketch of each bag (each element flips one bit) and, in the 12 lowest bits of the second half, its size."""
+    place = (elems >> np.uint64(32)) % np.uint64(128 - SIZE_BITS)
+    first = np.where(place < 64, np.uint64(1) << (place & np.uint64(63)), np.uint64(0))
+    second = np.where(place >= 64, np.uint64(1) << ((place + np.uint64(SIZE_BITS)) & np.uint64(63)), np.uint64(0))
+    packed = np.minimum(sizes, NO_BOUND).astype(np.uint64)
+    return np.bitwise_xor.reduceat(first, starts).view(np.int64), (np.bitwise_xor.reduceat(second, starts) | packed).view(np.int64)
 
 
 def _non_empty(batch: pa.RecordBatch) -> bool:
@@ -123,7 +125,7 @@ def weigh(elems: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarra
 
 
 def band_rows(classes: DataFrame, common: tuple[np.ndarray, np.ndarray], bands: int, rows: int) -> DataFrame:
-    """One row per bag and band: key, bag_id, parity sketch (two halves), bag size."""
+    """One row per bag and band: key, bag_id, sketch and size in two halves."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filter(_non_empty, batches):
@@ -134,10 +136,9 @@ def band_rows(classes: DataFrame, common: tuple[np.ndarray, np.ndarray], bands:
                 [
                     pa.array(keys.reshape(-1).view(np.int64)),
                     pa.array(np.tile(ids, bands)),
-                    *(pa.array(np.tile(half, bands)) for half in _parity(elems, starts)),
-                    pa.array(np.tile(sizes.astype(np.int32), bands)),
+                    *(pa.array(np.tile(half, bands)) for half in _sketch(elems, starts, sizes)),
                 ],
-                ["key", "bag_id", "s1", "s2", "size"],
+                ["key", "bag_id", "s1", "s2"],
             )
 
     return classes.select("bag_id", "bag").mapInArrow(sign, BAND_ROW)
@@ -145,7 +146,7 @@ def band_rows(classes: DataFrame, common: tuple[np.ndarray, np.ndarray], bands:
 
 def side(banded: DataFrame, name: str, *more: str) -> DataFrame:
     """One side of a join of band rows: all columns but the key with a suffix."""
-    return banded.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("bag_id", "s1", "s2", "size", *more)))
+    return banded.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("bag_id", "s1", "s2", *more)))
 
 
 def sketches_allow(threshold: float) -> Column:
@@ -154,9 +155,12 @@ def sketches_allow(threshold: float) -> Column:
     |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|) at similarity t or more.
     """
     t = Fraction(threshold).limit_denominator(1000)
-    bits = lambda s: F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b")))
-    apart = (bits("s1") + bits("s2")) * (t.denominator + t.numerator)
-    return apart <= (F.col("size_a") + F.col("size_b")) * (t.denominator - t.numerator)
+    size = lambda x: F.col(f"s2_{x}").bitwiseAND(NO_BOUND)
+    apart = F.bit_count(F.col("s1_a").bitwiseXOR(F.col("s1_b"))) + F.bit_count(
+        F.shiftrightunsigned(F.col("s2_a").bitwiseXOR(F.col("s2_b")), SIZE_BITS)
+    )
+    near = apart * (t.denominator + t.numerator) <= (size("a") + size("b")) * (t.denominator - t.numerator)
+    return near | (F.greatest(size("a"), size("b")) == NO_BOUND)
 
 
 def candidates(banded: DataFrame, threshold: float) -> DataFrame:
