@@ -16,10 +16,12 @@ from siltstone.llm.nearpairs import near_duplicate_pairs
 from siltstone.llm.packing import pack, sized
 from siltstone.llm.splitting import split
 from siltstone.llm.survivors import Field, survivors
+from siltstone.storage import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df) if table in ("documents", "repo_files") else df
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
