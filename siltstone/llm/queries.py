@@ -15,6 +15,7 @@ from siltstone.llm.licenses import file_licenses
 from siltstone.llm.nearpairs import near_duplicate_pairs
 from siltstone.llm.packing import pack, sized
 from siltstone.llm.splitting import split
+from siltstone.llm.sql import SQL
 from siltstone.llm.survivors import Field, survivors
 from siltstone.storage import spread
 
@@ -125,4 +126,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
