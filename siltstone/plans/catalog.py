@@ -1,4 +1,4 @@
-"""The whole catalog build as one lazy plan."""
+"""The whole catalog build; what costs Python or many patterns is computed once and kept in the shared folder."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
 from siltstone.operators import dedup, frontmatter, licenses, quality, security
+from siltstone.storage import materialize
 
 
 def record_id(host: str, url, skill_dir):
@@ -34,7 +35,7 @@ def build(raw: DataFrame, sources: DataFrame, previous: DataFrame, host: str, no
     """
     joined = raw.join(sources.select(F.col("id").alias("source_id"), "url", "owner_type", "tier"), "source_id")
     hashed = frontmatter.parse(joined, "content", "skill_dir").withColumn("content_hash", frontmatter.content_hash("content"))
-    hashed = hashed.where(F.trim(F.coalesce("fm.description", F.lit(""))) != "")
+    hashed = materialize(hashed.where(F.trim(F.coalesce("fm.description", F.lit(""))) != ""), "parsed")  # each file is parsed once
     copies = hashed.groupBy("content_hash").agg(F.count_distinct("source_id").alias("_sources"))
     last = F.element_at(F.split("skill_dir", "/"), -1)
     name = F.coalesce(F.nullif(F.trim("fm.name"), F.lit("")), F.when(F.col("skill_dir") == ".", "root").otherwise(last))
@@ -49,7 +50,7 @@ def build(raw: DataFrame, sources: DataFrame, previous: DataFrame, host: str, no
         quality.smells(F.col("content"), F.col("fm.name"), F.col("fm.description")).alias("smells"),
         "content", F.coalesce("has_scripts", F.lit(False)).alias("has_scripts"),
     )
-    base = base.withColumn("scan_description", F.col("description"))
+    base = materialize(base.withColumn("scan_description", F.col("description")), "records")
     scanned = security.scan(base, "id", "content", "scan_description", "has_scripts", "layer").select(
         "id", F.struct("status", "risk_level", "capabilities", "max_severity").alias("security")
     )
