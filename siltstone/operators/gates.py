@@ -50,6 +50,13 @@ def curated_reasons() -> Column:
     )
 
 
+def security_reasons(status: str = "status", critical: str = "critical", high: str = "high") -> Column:
+    """Why a scanned record (status and counts by severity) fails the security checks; a bad status alone says it all."""
+    bad = F.col(status).isin("malicious", "error")
+    counts = _reasons((F.col(critical) > 0, "Unresolved CRITICAL findings"), (F.col(high) > 0, "Unresolved HIGH findings"))
+    return F.when(bad, F.array(F.concat(F.lit("Security status is "), F.col(status)))).otherwise(counts)
+
+
 def gate(records: DataFrame, reasons: Column, name: str) -> DataFrame:
     """(skill_id, gate, passes, reasons)."""
     judged = records.select(F.col("id").alias("skill_id"), F.lit(name).alias("gate"), reasons.alias("reasons"))

@@ -50,6 +50,29 @@ class Index:
         return found.where(F.col("_terms") == len(wanted)).select("doc", F.round("score", 9).alias("score"))
 
 
+def search_fields(records: DataFrame) -> DataFrame:
+    """Searchable rows of catalog records with the fields of R.FIELD_WEIGHTS.
+
+    Active and not malicious; up to twelve tags in one field; the head is the
+    beginning of the description, which so counts twice.
+    """
+    kept = records.where((F.col("status") == "active") & (F.coalesce("security.status", F.lit("")) != "malicious"))
+    tags = F.array_join(F.slice(F.coalesce("tags", F.array().cast("array<string>")), 1, 12), " ")
+    return kept.select("id", "name", "description", tags.alias("tags"), F.left("description", F.lit(400)).alias("head")).distinct()
+
+
+def flat_metadata(records: DataFrame) -> DataFrame:
+    """One flat row per searchable record, defaults for what is missing."""
+    kept = records.where((F.col("status") == "active") & (F.coalesce("security.status", F.lit("")) != "malicious"))
+    or_else = lambda c, x: F.coalesce(F.col(c), F.lit(x))
+    return kept.select(
+        F.col("id").alias("skill_id"), or_else("name", "").alias("name"), or_else("description", "").alias("description"), or_else("source.url", "").alias("url"),
+        or_else("hashes.content_hash", "").alias("content_hash"), or_else("trust_tier", "unreviewed").alias("trust_tier"),
+        or_else("license.spdx", "NOASSERTION").alias("license"), or_else("security.status", "pending").alias("security"),
+        F.col("dedup.canonical_id").alias("canonical_id"), or_else("layer", "source").alias("layer"),
+    ).distinct()
+
+
 def build_index(docs: DataFrame, record: str, fields: dict[str, float], stems: bool = False) -> Index:
     """The index of text columns with their weights.
 

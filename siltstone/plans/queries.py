@@ -532,6 +532,17 @@ def gate_regressions(spark, d):
     return judged.select("skill_id", F.array_join("reasons", "; ").alias("reasons")).distinct()
 
 
+@query(
+    f"""WITH n AS (SELECT doc_id, count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'high') AS high FROM ({_IOC}) GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN critical > 0 THEN 'Security status is malicious' ELSE array_to_string(list_filter([CASE WHEN high > 0 THEN 'Unresolved HIGH findings' END], lambda x: x IS NOT NULL), '; ') END AS reasons
+    FROM (SELECT doc_id, coalesce(critical, 0) AS critical, coalesce(high, 0) AS high FROM documents LEFT JOIN n USING (doc_id))"""
+)
+def gate_security(spark, d):
+    docs = table(spark, d, "documents").withColumns({"scripts": F.lit(False), "layer": F.lit("source")})
+    scanned = security.scan(docs, "doc_id", "text", "kind", "scripts", "layer")
+    return scanned.select("doc_id", F.array_join(gates.security_reasons(), "; ").alias("reasons"))
+
+
 def _rules_sql(rules: tuple[gates.Rule, ...], table_: str, numeric: tuple[str, ...] = ()) -> str:
     out = []
     for r in rules:
@@ -856,6 +867,26 @@ def bm25_porter(spark, d):
     return found.select(F.col("doc").alias("id"), F.round("score", 6).alias("score"))
 
 
+_SEARCHABLE = "status = 'active' AND coalesce(security.status, '') <> 'malicious'"
+_FOUR = f"(SELECT DISTINCT id, name, description, coalesce(array_to_string(tags[1:12], ' '), '') AS tags, left(description, 400) AS head FROM skills WHERE {_SEARCHABLE})"
+
+
+@query(f"SELECT id, round(score, 6) AS score FROM {_bm25_sql(_FOUR, R.FIELD_WEIGHTS, ['rubric', 'quota'])}")
+def bm25_catalog_fields(spark, d):
+    """All four weighted fields of the catalog's records."""
+    found = search.build_index(search.search_fields(table(spark, d, "skills")), "id", R.FIELD_WEIGHTS).matches(["rubric", "quota"])
+    return found.select(F.col("doc").alias("id"), F.round("score", 6).alias("score"))
+
+
+@query(
+    f"""SELECT DISTINCT id AS skill_id, coalesce(name, '') AS name, coalesce(description, '') AS description, coalesce(source.url, '') AS url, coalesce(hashes.content_hash, '') AS content_hash,
+    coalesce(trust_tier, 'unreviewed') AS trust_tier, coalesce(license.spdx, 'NOASSERTION') AS license, coalesce(security.status, 'pending') AS security, dedup.canonical_id AS canonical_id,
+    coalesce(layer, 'source') AS layer FROM skills WHERE {_SEARCHABLE}"""
+)
+def flat_metadata(spark, d):
+    return search.flat_metadata(table(spark, d, "skills"))
+
+
 @query(f"SELECT id FROM {_META} WHERE layer = 'source' AND license IN ({_values(R.ALLOW)}) AND trust_tier IN ('official', 'community')")
 def search_filters(spark, d):
     return _meta(spark, d).where(search.filters("source", True, "community")).select(F.col("skill_id").alias("id"))
