@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import rules as R
 from siltstone.functions import text as T
+from siltstone.storage import materialize
 
 UNSEEN = math.log(1000)
 
@@ -74,12 +75,10 @@ def greedy_shards(records: DataFrame, group: str, order: str, size: str, capacit
     part = Window.partitionBy(group, "_slice").orderBy(order)
     # a distributed running sum: ranges of the order, their sums, then sums inside each
     sliced = records.select(group, order, size).repartitionByRange(F.col(group), F.col(order)).withColumn("_slice", F.spark_partition_id())
-    from siltstone.storage import materialize
-
     sliced = materialize(sliced, "slices")
     sums = sliced.groupBy(group, "_slice").agg(F.sum(size).alias("_sum"))
     before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = sliced.join(F.broadcast(before.select(group, "_slice", "_before")), [group, "_slice"])  # one row per range
+    placed = sliced.join(before.select(group, "_slice", "_before"), [group, "_slice"])
     placed = placed.withColumn("_until", F.col("_before") + F.coalesce(F.sum(size).over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     runs = placed.withColumn("_run", F.floor(F.col("_until") / run_bytes))
 
@@ -98,5 +97,5 @@ def greedy_shards(records: DataFrame, group: str, order: str, size: str, capacit
     folded = materialize(folded, "folded")
     used = folded.groupBy(group, "_run").agg((F.max("_at") + 1).alias("_used"))
     offset = used.withColumn("_offset", F.coalesce(F.sum("_used").over(Window.partitionBy(group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = folded.join(F.broadcast(offset.select(group, "_run", "_offset")), [group, "_run"])  # one row per 256 shards
+    numbered = folded.join(offset.select(group, "_run", "_offset"), [group, "_run"])
     return numbered.select(group, order, (F.col("_offset") + F.col("_at")).alias("shard"))
