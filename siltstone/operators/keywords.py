@@ -19,8 +19,8 @@ def idf(records: DataFrame, record: str, name: str, description: str) -> DataFra
     """(term, df, idf): ln(records / df) over names and descriptions, all records counted."""
     tokens = F.array_distinct(T.keyword_tokens(F.concat_ws(" ", name, description)))
     df = records.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    total = records.select(F.count("*").alias("total"))
-    return df.crossJoin(F.broadcast(total)).select("term", "df", F.log(F.col("total") / F.col("df")).alias("idf"))
+    total = records.select(F.count("*")).scalar()
+    return df.select("term", "df", F.log(total / F.col("df")).alias("idf"))
 
 
 def top_keywords(

@@ -35,17 +35,17 @@ class Index:
 
         The idf of a term found in over half of the documents is floored, as is
         usual.  Only the query's postings are read and shuffled; the corpus
-        sizes are one row.
+        sizes are scalars.
         """
         wanted = sorted(set(terms))
         if not wanted:
             return self.postings.select("doc", F.lit(0.0).alias("score")).where("false")
         hits = self.postings.where(F.col("term").isin(*wanted))
-        total = self.lengths.agg(F.count("*").alias("docs"), F.avg("len").alias("mean"))
+        docs, mean = self.lengths.select(F.count("*")).scalar(), self.lengths.select(F.avg("len")).scalar()
         n = hits.groupBy("term").agg(F.count("*").alias("n"))  # at most as many rows as query terms
-        scored = hits.join(F.broadcast(n), "term").join(self.lengths, "doc").crossJoin(F.broadcast(total))
-        rarity = F.greatest(F.log((F.col("docs") - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(1e-6))
-        weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean")))
+        scored = hits.join(F.broadcast(n), "term").join(self.lengths, "doc")
+        rarity = F.greatest(F.log((docs - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(1e-6))
+        weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
         found = scored.groupBy("doc").agg(F.sum(rarity * weight).alias("score"), F.count("*").alias("_terms"))
         return found.where(F.col("_terms") == len(wanted)).select("doc", F.round("score", 9).alias("score"))
 

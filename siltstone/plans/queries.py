@@ -720,8 +720,8 @@ def stats_rollup(spark, d):
     || '- **Last updated:** 2026-01-01' AS block FROM ({_OVERVIEW})"""
 )
 def stats_block(spark, d):
-    repos = table(spark, d, "sources").agg(F.count("*").alias("repositories"))
-    return stats.block(stats_overview(spark, d).crossJoin(repos), "2026-01-01")
+    repos = table(spark, d, "sources").select(F.count("*")).scalar()
+    return stats.block(stats_overview(spark, d).withColumn("repositories", repos), "2026-01-01")
 
 
 _AGE = f"(SELECT {_MICROS} AS seen FROM (SELECT DISTINCT id, first_seen FROM skills))"
