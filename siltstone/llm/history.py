@@ -44,7 +44,7 @@ class Settings:
     min_words: int = 8
     bands: int = 20
     rows: int = 3
-    buckets: int = 16  # of the history's tables: raise with its size
+    buckets: int | None = None  # of the history's tables, for good; by default the session's shuffle partitions, 16 to 96
 
 
 class History:
@@ -52,6 +52,7 @@ class History:
 
     def __init__(self, spark: SparkSession, settings: Settings | None = None):
         self.spark, self.settings = spark, settings or Settings()
+        self.buckets = self.settings.buckets or min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16), 96)
         self.prefix = f"history_{uuid.uuid4().hex}"
         self.batches = 0
         self.common = None
@@ -64,9 +65,9 @@ class History:
         path = f"{shared_dir(self.spark)}/{self.prefix}_{name}"
         register_path(self.spark, path)
         (
-            rows.repartition(self.settings.buckets, key)
+            rows.repartition(self.buckets, key)
             .write.mode("append")
-            .bucketBy(self.settings.buckets, key)
+            .bucketBy(self.buckets, key)
             .sortBy(key)
             .option("path", path)
             .option("compression", "zstd")
