@@ -166,13 +166,14 @@ def check_in_batches(spark: SparkSession, arrived: DataFrame, batches: int = 3,
     The result doesn't depend on the number of batches: inside a batch, too,
     only what arrived strictly earlier counts.
     """
-    cuts = arrived.agg(F.approx_percentile("at", [i / batches for i in range(1, batches)], 1000)).first()[0] if batches > 1 else []
-    cuts = sorted(set(cuts or []))
-    number = sum(((F.col("at") > c).cast("int") for c in cuts), F.lit(0))
-    sliced = materialize(arrived.where("at is not null").withColumn("slice", number), "arrived")
+    timed = materialize(arrived.where("at is not null"), "arrived")
+    share = [i / batches for i in range(1, batches)]
+    found = timed.agg(F.approx_percentile("at", share, 1000)).first()[0] if share else None
+    cuts = [None, *sorted(set(found or [])), None]
     history = History(spark, settings)
-    checked = [materialize(history.check(sliced.where(F.col("slice") == i)), "checked") for i in range(len(cuts) + 1)]
-    out = checked[0]
-    for more in checked[1:]:
-        out = out.unionByName(more)
+    out = None
+    for after, until in zip(cuts, cuts[1:]):
+        inside = (F.col("at") > after if after is not None else F.lit(True)) & (F.col("at") <= until if until is not None else F.lit(True))
+        checked = materialize(history.check(timed.where(inside)), "checked")
+        out = checked if out is None else out.unionByName(checked)
     return out
