@@ -67,19 +67,15 @@ def moment(c: Column) -> Column:
     form 20250131T235959Z; a date alone; seconds since 1970.  Independent of the
     session's time zone.
     """
-    text = trimmed(c)
-    iso = r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ]+(\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?\s*(Z|z|UTC|[+-]\d{2}:?\d{2}|[+-]\d{2})?$"
-    part = lambda i: F.regexp_extract(text, iso, i)
-    whole = lambda i: F.coalesce(F.nullif(part(i), F.lit("")).cast("int"), F.lit(0))
-    day = F.try_to_date(F.concat_ws("-", part(1), part(2), part(3)), "yyyy-MM-dd")
-    hour, minute, second = whole(4), whole(5), whole(6)
-    zone = F.regexp_replace(part(8), r"[^0-9]", "")
-    offset = F.coalesce(F.substring(zone, 1, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(
-        F.substring(zone, 3, 2).try_cast("int"), F.lit(0)
-    )
-    offset = F.when(part(8).startswith("-"), -offset).otherwise(offset)
-    micros = F.coalesce(F.rpad(F.substring(part(7), 1, 6), 6, "0").try_cast("long"), F.lit(0).cast("long"))
-    seconds = F.unix_date(day).cast("long") * 86400 + hour * 3600 + minute * 60 + second - offset * 60
-    valid = (F.length(part(1)) > 0) & day.isNotNull() & (hour < 24) & (minute < 60) & (second < 61)
-    epoch = F.when(text.rlike(r"^\d{9,11}(\.\d+)?$"), (text.try_cast("decimal(20,6)") * 1000000).cast("long"))
-    return F.coalesce(epoch, F.when(valid, seconds * 1000000 + micros))
+    text = F.btrim(c, F.lit(" \t\n\x0b\f\r\u00a0\ufeff"))
+    part = lambda at, n: F.substring(text, at, n)
+    compact = part(9, 1).isin("T", "t") & F.length(text).isin(15, 16)
+    spelled = F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit("T"), part(10, 2), F.lit(":"), part(12, 2), F.lit(":"), part(14, 3))
+    text = F.when(compact, spelled).otherwise(text)
+    iso = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?\s?(Z|UTC|[+-]\d{2}(?::?\d{2})?)?$"
+    zoned = F.regexp_extract(text, iso, 1) != ""
+    day = F.length(text) == 10
+    known = F.when(day, F.concat(text, F.lit("T00:00:00Z"))).when(zoned, text).otherwise(F.concat(text, F.lit("Z")))
+    valid = F.when(day, text.rlike(r"^\d{4}-\d{2}-\d{2}$")).otherwise(text.rlike(iso))
+    epoch = F.when(F.length(text).between(9, 11) & text.rlike(r"^\d{9,11}$"), text.try_cast("long") * 1000000)
+    return F.coalesce(epoch, F.when(valid, F.unix_micros(known.try_cast("timestamp"))))
