@@ -18,6 +18,7 @@ it are encoded again to be sure of their size.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +35,51 @@ _PERIODS = tuple(".!?…。！？।؟")
 PIECE = "piece int, start int, end int, n_tokens int, shared_tokens int, ends_at string, piece_text string"
 
 
-def boundary_kind(before: str, after: str) -> int:
-    """What kind of boundary (an index of ENDS) lies between two neighbouring words."""
-    blank = (before if before.isspace() else "") + after[: len(after) - len(after.lstrip())]
-    breaks = blank.replace("\r\n", "\n").replace("\r", "\n").count("\n")
-    if breaks and not after.isspace():
-        return 3 if breaks > 1 else 2
-    if before.rstrip("\"')]}»”’*_").endswith(_PERIODS) and (after[:1].isspace() or ord(before[-1]) > 0x3000 or before[-1] in "।؟"):
-        return 1
-    return 0
+@dataclass
+class Traits:
+    """What splitting needs to know of each distinct word, as arrays."""
+
+    blank: np.ndarray
+    feeds: np.ndarray  # line feeds in a blank word
+    returns: np.ndarray  # carriage returns in it
+    starts_blank: np.ndarray
+    closes: np.ndarray  # ends a sentence if a blank follows
+    closes_alone: np.ndarray  # ends a sentence whatever follows
+    content: np.ndarray  # says something of the topic
+    folded: np.ndarray  # number of the word without regard to case
+
+    @classmethod
+    def of(cls, distinct: list[str]) -> Traits:
+        flag = lambda f: np.fromiter(map(f, distinct), dtype=bool, count=len(distinct))
+        number = lambda f: np.fromiter(map(f, distinct), dtype=np.int64, count=len(distinct))
+        plain = [w.strip().lower() for w in distinct]
+        code = {w: i for i, w in enumerate(dict.fromkeys(plain))}
+        blank = flag(str.isspace)
+        closes = flag(lambda w: w.rstrip("\"')]}»”’*_").endswith(_PERIODS))
+        return cls(
+            blank, number(lambda w: w.count("\n")) * blank, number(lambda w: w.count("\r")) * blank, flag(lambda w: w[:1].isspace()), closes,
+            closes & flag(lambda w: ord(w[-1]) > 0x3000 or w[-1] in "।؟"),
+            np.array([len(w) > 2 or (w.isalpha() and not w.isascii()) for w in plain], dtype=bool), np.array([code[w] for w in plain], dtype=np.int64),
+        )
+
+    def boundaries(self, words: np.ndarray) -> np.ndarray:
+        """What kind of boundary (an index of ENDS) lies before each word, and at the end.
+
+        The pattern makes up to two words of a run of blanks, so line breaks are
+        counted over both.
+        """
+        blank = self.blank[words]
+        before = np.concatenate([[False], blank[:-1]])
+        twice = np.concatenate([[False, False], blank[:-2]])[: len(words)] & before
+        over = lambda x: before * np.concatenate([[0], x[:-1]]) + twice * np.concatenate([[0, 0], x[:-2]])[: len(words)]
+        feeds, returns = over(self.feeds[words]), over(self.returns[words])
+        breaks = np.where(feeds > 0, feeds, returns)
+        last = lambda x, n: np.concatenate([np.zeros(n, dtype=bool), x[:-n]])[: len(words)]
+        closes, alone = self.closes[words], self.closes_alone[words]
+        sentence = (last(closes, 1) & self.starts_blank[words]) | last(alone, 1) | (before & last(closes, 2))
+        kind = np.where(~blank & (breaks > 1), 3, np.where(~blank & (breaks == 1), 2, np.where(sentence, 1, 0)))
+        kind[0] = 0
+        return np.append(kind, 3)
 
 
 def cohesion(content: np.ndarray, gaps: np.ndarray) -> np.ndarray:
@@ -86,19 +123,22 @@ def _broken(words: list[str], sizes: np.ndarray, most: int, count) -> tuple[list
     return out, np.array(size), np.array(part)
 
 
-def split_text(words: list[str], sizes: np.ndarray, vocabulary: str, limit: int, overlap: int) -> list[tuple]:
+def split_text(words: list[str], codes: np.ndarray, traits: Traits, sizes: np.ndarray, vocabulary: str, limit: int, overlap: int) -> list[tuple]:
     """The pieces of a text larger than the limit: rows of PIECE."""
     count = lambda text: int(T.text_sizes(vocabulary, [text])[0])
+    whole = len(words)
     words, sizes, part = _broken(words, sizes, max(1, min(overlap, limit // 8)), count)
+    if len(words) != whole:
+        number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        traits, codes = Traits.of(list(number)), np.array([number[w] for w in words])
     ends = np.concatenate([[0], np.cumsum(sizes)])  # tokens before each word
-    chars = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-    kind = np.array([0] + [0 if part[i] and part[i - 1] else boundary_kind(words[i - 1], words[i]) for i in range(1, len(words))] + [3])
+    chars = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))])
+    kind = traits.boundaries(codes)
+    kind[1:-1][part[1:] & part[:-1]] = 0
     gaps = np.flatnonzero(kind > 0)
-    plain = [w.strip().lower() for w in words]
-    is_content = np.array([len(w) > 2 or (w.isalpha() and not w.isascii()) for w in plain], dtype=bool)
-    _, code = np.unique(np.array(plain, dtype=object)[is_content], return_inverse=True) if is_content.any() else (0, np.zeros(0, int))
-    before = np.concatenate([[0], np.cumsum(is_content)])
-    depth = depths(cohesion(code, before[gaps])) if len(gaps) else np.zeros(0)
+    content = traits.content[codes]
+    before = np.concatenate([[0], np.cumsum(content)])
+    depth = depths(cohesion(traits.folded[codes][content], before[gaps]))
 
     text, pieces, start, shared = "".join(words), [], 0, 0
 
@@ -153,14 +193,14 @@ def split(
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             distinct, flat, lengths = T.numbered(texts)
-            word_size = T.word_sizes(path, distinct)
+            word_size, traits = T.word_sizes(path, distinct), Traits.of(distinct)
             until = np.cumsum(lengths)
             rows = []
             for key, hi, n in zip(ids, until, lengths):
                 codes = flat[hi - n : hi]
                 sizes = word_size[codes]
                 if sizes.sum() > limit:
-                    rows += [(key, *p) for p in split_text([distinct[c] for c in codes], sizes, path, limit, overlap)]
+                    rows += [(key, *p) for p in split_text([distinct[c] for c in codes], codes, traits, sizes, path, limit, overlap)]
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
