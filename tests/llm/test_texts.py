@@ -11,7 +11,7 @@ from siltstone.llm import licenses as L
 from siltstone.llm import tokens as T
 from siltstone.llm.lexicon import Lexicon, encode, encode_batch
 from siltstone.llm.packing import evolve, pack, sized
-from siltstone.llm.splitting import split
+from siltstone.llm.splitting import ENDS, Traits, split
 
 VOCABULARY = f"{T.TOKENIZERS}/{T.VOCABULARY}"
 HARD = [
@@ -157,6 +157,21 @@ def test_split_covers_and_overlaps(spark):
         split(docs, "doc_id", "text", limit=64, overlap=40)
 
 
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        ("One a.\n\nTwo", ["paragraph"]), ("One a\nTwo", ["line"]), ("One a\r\nTwo", ["line"]), ("One a\r\n\r\nTwo", ["paragraph"]), ("One a\rTwo", ["line"]),
+        ("One a. Two", ["sentence"]), ("One a.  Two", ["sentence"]), ('He "said." Two', ["sentence"]), ("一二。三四", ["sentence"]), ("1.5 a", []), ("a b", []),
+    ],
+)
+def test_boundaries(text, kinds):
+    words = T.words(text)
+    distinct = list(dict.fromkeys(words))
+    found = Traits.of(distinct).boundaries(np.array([distinct.index(w) for w in words]))
+    strongest = [ENDS[k] for k in found[1:-1] if k > 0]
+    assert found[-1] == 3 and sorted(set(strongest), key=ENDS.index)[-1:] == kinds
+
+
 def test_split_ends_where_the_topic_changes(spark):
     rng = random.Random(2)
     topic = lambda words: " ".join(" ".join(rng.choices(words, k=8)) + "." for _ in range(9))
