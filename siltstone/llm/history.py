@@ -144,7 +144,7 @@ class History:
         if self.common is None:  # frozen with the first batch, so that keys stay comparable
             self.common = N.common_elements(new)
         self._append("bags", "bag_id", new.select("bag_id", "bag", "first"))
-        keys = N.band_rows(new, self.common, s.bands, s.rows).withColumn("batch", F.lit(number))
+        keys = N.band_rows(new, s.bands, s.rows, self.common).withColumn("batch", F.lit(number))
         self._append("keys", "key", keys)
 
         every, bags = self._table("keys"), self._table("bags")

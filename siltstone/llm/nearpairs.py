@@ -3,19 +3,13 @@
 Signature.  C-MinHash (Li and Li, 2021) needs two permutations only: one,
 sigma, scatters the elements over a universe of 2**20 places; the other, pi,
 is shifted circularly by k places to give the k-th signature coordinate.  Here
-pi holds exponential variates, and an element of weight w competes with
-``pi[(sigma(e) - k) mod D] / w``: the smallest wins, so two bags agree in a
-coordinate with probability equal to their *weighted* Jaccard similarity.
-
-Weights.  ``min(ln(bags / bags with the element), 3)``: words of boilerplate
-that most texts share decide little, so texts of one template don't collide.
-Weights below 3 belong to elements found in over 1/20 of all bags.  There are
-at most 20 times the mean bag size of those, whatever the size of the table,
-so this list alone is gathered and sent to the executors.  The statistics
-cover all bags.
+an element competes with ``pi[(sigma(e) - k) mod D]``: the smallest wins, so
+two bags agree in a coordinate with probability equal to the multiset Jaccard
+similarity that is asked for.  No statistics of the table enter: a pair meets
+or doesn't whatever other texts there are, common templates included.
 
 Bands.  ``bands`` x ``rows`` coordinates; a pair is a candidate when all rows
-of some band agree.  Before anything is kept, the join itself applies an exact
+of some band agree, 0.9998 of those at similarity 0.7 with 20 x 3.  Before anything is kept, the join itself applies an exact
 bound: each bag carries a 116-bit parity sketch (each element flips one bit),
 and two bags can't differ in fewer elements than their sketches differ in
 bits.  This loses no pair.  What passes is compared exactly, in integers.
@@ -55,13 +49,11 @@ def _pi(seed: int) -> np.ndarray:
     return _tables[seed]
 
 
-def signatures(
-    elems: np.ndarray, starts: np.ndarray, weights: np.ndarray, coordinates: int, seed: int = SEED
-) -> np.ndarray:
+def signatures(elems: np.ndarray, starts: np.ndarray, coordinates: int, seed: int = SEED, weights: np.ndarray | None = None) -> np.ndarray:
     """coordinates x bags: the circulant MinHash signature of each bag."""
     pi, mask = _pi(seed), UNIVERSE - 1
     place = (B.mix(elems ^ np.uint64(seed)) & np.uint64(mask)).astype(np.int32)
-    inverse = (1 / weights).astype(np.float32)
+    inverse = np.float32(1) if weights is None else (1 / weights).astype(np.float32)
     out = np.empty((coordinates, len(starts)), dtype=np.float32)
     for k in range(coordinates):
         out[k] = np.minimum.reduceat(pi[(place - k) & mask] * inverse, starts)
@@ -124,13 +116,14 @@ def weigh(elems: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarra
     return weights
 
 
-def band_rows(classes: DataFrame, common: tuple[np.ndarray, np.ndarray], bands: int, rows: int) -> DataFrame:
+def band_rows(classes: DataFrame, bands: int, rows: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """One row per bag and band: key, bag_id, sketch and size in two halves."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filter(_non_empty, batches):
             elems, starts, sizes = B.elements(batch.column(1))
-            keys = _band_keys(signatures(elems, starts, weigh(elems, common), bands * rows), bands, rows)
+            weights = None if common is None else weigh(elems, common)
+            keys = _band_keys(signatures(elems, starts, bands * rows, weights=weights), bands, rows)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -226,7 +219,7 @@ class NearPairs:
         bagged = B.with_bag(df, id_col, text_col, min_words)
         self.members = bagged.select("item", "bag_id").distinct()
         self.classes = materialize(bagged.select("bag").distinct().withColumn("bag_id", F.xxhash64("bag")), "bags")
-        banded = band_rows(self.classes, common_elements(self.classes), bands, rows)
+        banded = band_rows(self.classes, bands, rows)
         self.links = verified(candidates(banded, threshold), self.classes, threshold)
 
 

@@ -153,6 +153,21 @@ def test_near_pairs(spark, seed):
     assert near_duplicate_pairs(df.limit(0), "id", "text").count() == 0
 
 
+def template_texts(holders, others):
+    """Texts of one template, each with words of its own: all pairs of them are exactly at 0.7.  The others share no word."""
+    template = [f"t{i}" for i in range(28)]
+    held = [(f"h{k:03}", " ".join(template + [f"own{k}x{i}" for i in range(6)])) for k in range(holders)]
+    return held + [(f"o{k:03}", " ".join(f"other{k}x{i}" for i in range(34))) for k in range(others)]
+
+
+@pytest.mark.parametrize(("holders", "others"), [(40, 80), (40, 40), (40, 4)])
+def test_near_pairs_of_a_template(spark, holders, others):
+    rows = template_texts(holders, others)
+    got = [tuple(r) for r in near_duplicate_pairs(spark.createDataFrame(rows, "id string, text string"), "id", "text").collect()]
+    expected = set(itertools.combinations([i for i, _ in rows[:holders]], 2))
+    assert len(got) == len(set(got)) and set(got) <= expected and len(got) >= 0.99 * len(expected)
+
+
 def test_long_text_and_hot_class(spark):
     long_text = " ".join(f"w{i}" for i in range(20000))
     rows = [(f"h{i:03}", "one two three four five six seven eight nine") for i in range(60)] + [("long1", long_text), ("long2", long_text + " more")]
