@@ -13,8 +13,8 @@ hashed again.  Digests and paragraphs are met by semi-joins on pre-aggregated
 hashes: full copies, and the share of a text's paragraphs seen before.
 
 Paragraph hashes alone miss a text with an edit in every paragraph, so the near
-stage takes the same bucketed path with the keys of circulant MinHash bands;
-both sides of that join lie in the same buckets, so it moves nothing.  What is
+stage takes the same bucketed path with the keys of circulant MinHash bands,
+which need no statistics and so stay comparable from batch to batch; both sides of that join lie in the same buckets, so it moves nothing.  What is
 found is compared exactly.  Then the batch's hashes are appended.
 """
 
@@ -55,7 +55,6 @@ class History:
         self.buckets = self.settings.buckets or min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16), 96)
         self.prefix = f"history_{uuid.uuid4().hex}"
         self.batches = 0
-        self.common = None
 
     def _table(self, name: str) -> DataFrame | None:
         table = f"{self.prefix}_{name}"
@@ -141,10 +140,8 @@ class History:
             earliest = earliest.withColumn("known", F.lit(False))
         earliest = materialize(earliest, "bags")
         new = earliest.where("not known")
-        if self.common is None:  # frozen with the first batch, so that keys stay comparable
-            self.common = N.common_elements(new)
         self._append("bags", "bag_id", new.select("bag_id", "bag", "first"))
-        keys = N.band_rows(new, s.bands, s.rows, self.common).withColumn("batch", F.lit(number))
+        keys = N.band_rows(new, s.bands, s.rows).withColumn("batch", F.lit(number))
         self._append("keys", "key", keys)
 
         every, bags = self._table("keys"), self._table("bags")

@@ -32,8 +32,6 @@ from siltstone.llm import bags as B
 from siltstone.storage import materialize
 
 UNIVERSE = 1 << 20
-COMMON = 20  # elements in more than 1/20 of all bags have a weight below the largest
-TOP_WEIGHT = float(np.log(COMMON))
 SEED = 20210907
 SIZE_BITS = 12
 NO_BOUND = (1 << SIZE_BITS) - 1  # the size of bags too large for a sketch to say anything
@@ -42,27 +40,25 @@ _tables: dict[int, np.ndarray] = {}
 
 
 def _pi(seed: int) -> np.ndarray:
-    """The second permutation, as exponential variates."""
+    """The second permutation."""
     if seed not in _tables:
-        places = np.random.default_rng(seed).permutation(UNIVERSE)
-        _tables[seed] = (-np.log((places + 0.5) / UNIVERSE)).astype(np.float32)
+        _tables[seed] = np.random.default_rng(seed).permutation(UNIVERSE).astype(np.uint32)
     return _tables[seed]
 
 
-def signatures(elems: np.ndarray, starts: np.ndarray, coordinates: int, seed: int = SEED, weights: np.ndarray | None = None) -> np.ndarray:
+def signatures(elems: np.ndarray, starts: np.ndarray, coordinates: int, seed: int = SEED) -> np.ndarray:
     """coordinates x bags: the circulant MinHash signature of each bag."""
     pi, mask = _pi(seed), UNIVERSE - 1
     place = (B.mix(elems ^ np.uint64(seed)) & np.uint64(mask)).astype(np.int32)
-    inverse = np.float32(1) if weights is None else (1 / weights).astype(np.float32)
-    out = np.empty((coordinates, len(starts)), dtype=np.float32)
+    out = np.empty((coordinates, len(starts)), dtype=np.uint32)
     for k in range(coordinates):
-        out[k] = np.minimum.reduceat(pi[(place - k) & mask] * inverse, starts)
+        out[k] = np.minimum.reduceat(pi[(place - k) & mask], starts)
     return out
 
 
 def _band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """bands x bags: one 64-bit key per band, the band's number mixed in."""
-    bits = sig.view(np.uint32).astype(np.uint64)
+    bits = sig.astype(np.uint64)
     keys = np.empty((bands, sig.shape[1]), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for b in range(bands):
@@ -86,44 +82,13 @@ def _non_empty(batch: pa.RecordBatch) -> bool:
     return batch.num_rows > 0
 
 
-def common_elements(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted elements found in over 1/COMMON of the bags, and their weights.
-
-    Counted over all bags; the result has at most COMMON x mean bag size rows.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in filter(_non_empty, batches):
-            values, counts = np.unique(B.elements(batch.column(0))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["e", "n"])
-
-    total = classes.count()
-    counted = classes.select("bag").mapInArrow(count, "e long, n long").groupBy("e").agg(F.sum("n").alias("n"))
-    often = counted.where(F.col("n") * COMMON > total).collect()
-    found = np.array([r.e for r in often], dtype=np.int64).view(np.uint64)
-    idf = np.log(max(total, 1) / np.array([r.n for r in often], dtype=np.float64)) if often else np.zeros(0)
-    order = np.argsort(found)
-    return found[order], np.clip(idf, 0.01, TOP_WEIGHT)[order]
-
-
-def weigh(elems: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    found, idf = common
-    weights = np.full(len(elems), TOP_WEIGHT)
-    if len(found):
-        at = np.minimum(np.searchsorted(found, elems), len(found) - 1)
-        hit = found[at] == elems
-        weights[hit] = idf[at[hit]]
-    return weights
-
-
-def band_rows(classes: DataFrame, bands: int, rows: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+def band_rows(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     """One row per bag and band: key, bag_id, sketch and size in two halves."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filter(_non_empty, batches):
             elems, starts, sizes = B.elements(batch.column(1))
-            weights = None if common is None else weigh(elems, common)
-            keys = _band_keys(signatures(elems, starts, bands * rows, weights=weights), bands, rows)
+            keys = _band_keys(signatures(elems, starts, bands * rows), bands, rows)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [

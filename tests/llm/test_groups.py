@@ -194,6 +194,16 @@ def test_batches(spark, batches):
     assert check_in_batches(spark, df.limit(0), batches, Settings(buckets=2)).count() == 0
 
 
+@pytest.mark.parametrize("others", [0, 1])
+def test_history_of_a_template(spark, others):
+    """A first batch of one text and its template: later texts of the template are found, with the production bands."""
+    rows = template_texts(21, others)
+    batch = lambda items, at: spark.createDataFrame([(i, None, t, at) for i, t in items], "item string, digest string, text string, at long")
+    history = History(spark, Settings(buckets=2))
+    assert not history.check(batch(rows[:1] + rows[21:], 1)).where("near").count()
+    assert {r.item for r in history.check(batch(rows[1:21], 2)).where("near").collect()} == {i for i, _ in rows[1:21]}
+
+
 def test_history_sees_paragraphs(spark):
     schema = "item string, digest string, text string, at long"
     history = History(spark, Settings(buckets=2))
