@@ -50,7 +50,7 @@ def build(raw: DataFrame, sources: DataFrame, previous: DataFrame, host: str, no
         quality.smells(F.col("content"), F.col("fm.name"), F.col("fm.description")).alias("smells"),
         "content", F.coalesce("has_scripts", F.lit(False)).alias("has_scripts"),
     )
-    base = materialize(base.withColumn("scan_description", F.col("description")), "records")
+    base = materialize(base.withColumn("scan_description", F.col("fm.description")), "records")  # uncut, as read
     scanned = security.scan(base, "id", "content", "scan_description", "has_scripts", "layer").select(
         "id", F.struct("status", "risk_level", "capabilities", "max_severity").alias("security")
     )

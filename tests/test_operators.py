@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import porter
 from siltstone.functions import text as T
 from siltstone.operators import changes, crawl, dedup, frontmatter, gates, keywords, licenses, neardup, refs, search, security, stats
+from siltstone.plans import catalog
 from siltstone.sources import io
 
 
@@ -117,6 +118,16 @@ def test_indel_similarity():
     assert neardup.similarity("a b c", "c a b") == 1.0
 
 
+def test_catalog_scans_the_whole_description(spark):
+    content = lambda tail: f"---\nname: maps\ndescription: {'word ' * 220}{tail}\n---\nDraws maps.\n"
+    rows = [("s", k, f"{k}/SKILL.md", content(tail), "0", False) for k, tail in (("tagged", "<b>end"), ("plain", "end"))]
+    raw = spark.createDataFrame(rows, "source_id string, skill_dir string, path string, content string, commit_sha string, has_scripts boolean")
+    sources = spark.createDataFrame([("s", "https://h/o/r", "community", 3)], "id string, url string, owner_type string, tier int")
+    previous = spark.createDataFrame([], "id string, content_hash string, first_seen string, last_changed string")
+    got = {r.id[-6:].strip("/"): r for r in catalog.build(raw, sources, previous, "h", "2026-01-01T00:00:00+00:00").collect()}
+    assert {k: (len(r.description), r.security.max_severity, r.security.status) for k, r in got.items()} == {"tagged": (1024, "medium", "warn"), "plain": (1024, "none", "pass")}
+
+
 def test_near_duplicates(spark):
     rng = random.Random(5)
     vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(400)]
