@@ -128,6 +128,16 @@ def test_catalog_scans_the_whole_description(spark):
     assert {k: (len(r.description), r.security.max_severity, r.security.status) for k, r in got.items()} == {"tagged": (1024, "medium", "warn"), "plain": (1024, "none", "pass")}
 
 
+def test_short_texts_meet_without_common_grams(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 25)
+    rng = random.Random(11)
+    texts = [(i, "abcde" if i == 0 else "abXde" if i == 1 else "".join(rng.choices("abcde F\t", k=rng.randint(3, 9)))) for i in range(80)]
+    texts = [(i, t) for i, t in texts if t.strip()]
+    docs = spark.createDataFrame(texts, "doc long, text string")
+    got = {(r.a, r.b) for r in neardup.verified_pairs(docs, neardup.candidate_pairs(docs)).collect()}
+    assert (0, 1) in got and got == {(i, j) for (i, x), (j, y) in itertools.combinations(texts, 2) if round(neardup.similarity(x, y), 6) >= neardup.NEAR}
+
+
 def test_near_duplicates(spark):
     rng = random.Random(5)
     vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(400)]
