@@ -25,16 +25,23 @@ def words_of(text: Column) -> Column:
 
 
 def with_bag(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """Distinct (item, bag, bag_id) of the texts with at least ``min_words`` words.
+    """(item, bag) of the texts with at least ``min_words`` words.
 
     Rows without an id or a text have no bag and are left out.
     """
     words = df.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("words"))
-    return (
-        words.where(F.col("item").isNotNull() & (F.size("words") >= min_words))
-        .select("item", F.array_join(F.sort_array("words"), " ").alias("bag"))
-        .withColumn("bag_id", F.xxhash64("bag"))
-    )
+    kept = words.where(F.col("item").isNotNull() & (F.size("words") >= min_words))
+    return kept.select("item", F.array_join(F.sort_array("words"), " ").alias("bag"))
+
+
+def seed_without_collisions(bags: DataFrame) -> tuple[int, int]:
+    """(seed, rows) of a table of distinct ``bag``: a seed under which all have different 64-bit hashes."""
+    for seed in range(8):
+        hashed = bags.select(F.xxhash64("bag", F.lit(seed)).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+        row = hashed.agg(F.max("n"), F.sum("n")).first()
+        if (row[0] or 0) <= 1:
+            return seed, row[1] or 0
+    raise RuntimeError("no seed without collisions")
 
 
 def mix(x: np.ndarray) -> np.ndarray:

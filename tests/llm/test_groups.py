@@ -3,14 +3,18 @@
 import itertools
 import random
 import re
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone.llm import bags as B
 from siltstone.llm import catalog as C
 from siltstone.llm.components import group_records, hash_to_min
 from siltstone.llm.history import History, Settings, check_in_batches
-from siltstone.llm.nearpairs import NearPairs, near_duplicate_pairs, same_class_pairs
+from siltstone.llm.nearpairs import NearPairs, Refining, band_rows, candidates, near_duplicate_pairs, prefixes, same_class_pairs
 from siltstone.llm.survivors import Field, cut_beginnings, precedence_levels, survivors
 
 
@@ -168,6 +172,48 @@ def test_near_pairs_of_a_template(spark, holders, others):
     assert len(got) == len(set(got)) and set(got) <= expected and len(got) >= 0.99 * len(expected)
 
 
+@pytest.mark.parametrize(("own", "near"), [(6, True), (14, False)])
+def test_refined_keys(spark, own, near):
+    """With hot keys refined, pairs of a template are found as before, and those that share only the template don't meet."""
+    template = [f"t{i}" for i in range(28)]
+    rows = [(f"h{k:03}", " ".join(template + [f"own{k}x{i}" for i in range(own)])) for k in range(90)]
+    rows += [(f"e{k:03}", rows[k][1] + " more") for k in range(30)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    whole, refined = (NearPairs(df, "id", "text", hot=hot) for hot in (10**6, 20))
+    assert whole.refining is None and len(refined.refining.keys)
+    expected = {tuple(sorted((i, j))) for (i, x), (j, y) in itertools.combinations(rows, 2) if similar(x, y)}
+    assert len(expected) > 4000 if near else len(expected) == 30
+    got = [tuple(r) for r in near_duplicate_pairs(df, "id", "text", hot=20).collect()]
+    assert len(got) == len(set(got)) and set(got) <= expected and len(got) >= 0.99 * len(expected)
+    met = [candidates(band_rows(x.classes, 20, 3, x.refining), 0.1, 2).count() for x in (whole, refined)]
+    assert near or met[1] < met[0] / 10
+
+
+def test_prefixes_meet():
+    rng = random.Random(2)
+    for _ in range(200):
+        common = rng.sample(range(900), rng.randint(6, 30))
+        bags = [[f"w{w}" for w in common + rng.sample(range(1000, 1900), rng.randint(0, 8))] for _ in "ab"]
+        frequent = np.sort(B.elements(pa.array([" ".join(sorted(f"w{w}" for w in common[:9]))]))[0])
+        refining = Refining(np.array([], dtype=np.uint64), frequent, np.arange(len(frequent)))
+        first, at = prefixes(*B.elements(pa.array([" ".join(sorted(b)) for b in bags])), refining, Fraction(7, 10))
+        a, b = bags
+        n = len(set(a) & set(b))
+        assert n * 10 < 7 * (len(a) + len(b) - n) or set(first[: at[1]]) & set(first[at[1] :])
+
+
+def test_tiles_and_chunks(spark):
+    """Large groups in tiles, groups over several batches."""
+    rng = random.Random(5)
+    rows = [(f"k{i:03}", " ".join(sorted(rng.sample(base, 12)))) for base in ([f"a{x}" for x in range(15)], [f"b{x}" for x in range(14)]) for i in range(300)]
+    rows = [(f"{i}{n:03}", t) for n, (i, t) in enumerate(rows)]
+    expected = {tuple(sorted((i, j))) for (i, x), (j, y) in itertools.combinations(rows, 2) if similar(x, y)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    got = {tuple(r) for r in near_duplicate_pairs(spark.createDataFrame(rows, "id string, text string"), "id", "text").collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got <= expected and len(got) >= 0.999 * len(expected) > 10000
+
+
 def test_long_text_and_hot_class(spark):
     long_text = " ".join(f"w{i}" for i in range(20000))
     rows = [(f"h{i:03}", "one two three four five six seven eight nine") for i in range(60)] + [("long1", long_text), ("long2", long_text + " more")]
