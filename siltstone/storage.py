@@ -63,17 +63,49 @@ def register_path(spark: SparkSession, path: str) -> None:
         _written.append((spark, path))
 
 
-def write_bytes(spark: SparkSession, name: str, data: bytes) -> str:
-    """Write a file to the shared folder; gives its path."""
-    path = f"{shared_dir(spark)}/{name}"
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def write_bytes(spark: SparkSession, name: str, data: bytes, keep: bool = False) -> str:
+    """Write a file whole; gives its path.  ``name`` is a path to ``keep``, else a name in the shared folder."""
+    path = name if keep else f"{shared_dir(spark)}/{name}"
+    fs, unfinished = _file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(unfinished)
     stream.write(bytearray(data))
     stream.close()
-    register_path(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, kinds = hadoop.Path(path), getattr(hadoop, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(kinds, 1)
+    over[0] = kinds.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(unfinished, target, over)
+    if not keep:
+        register_path(spark, path)
     return path
 
 
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What is in a folder, but for unfinished and hidden files; nothing if there is none."""
+    fs, target = _file_system(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+    return [n for n in found if not n.endswith(".tmp") and n[:1] not in "._"]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Have the executors fetch this package, once per application, so that nothing need be installed there."""
     sc = spark.sparkContext
