@@ -1,176 +1,333 @@
 """New batches checked against all accepted history, each batch once.
 
-The history is three bucketed tables in the shared folder, which only grow:
+The history is a folder that outlives the session: bucketed tables that only
+grow, a partition per batch.
 
 * ``digests``: normalised content digest, earliest arrival;
-* ``paragraphs``: hash of a paragraph (line or sentence) in plain words;
-* ``bags`` and ``keys``: each distinct text as a bag of words with its earliest
-  arrival, and the keys under which an edited text is found again.
+* ``parts``: hashes of paragraphs (lines and sentences in plain words), of all
+  a text's paragraphs together, and of all but one, each with the words of the
+  shortest text that has it;
+* ``bags``: each distinct text as a bag of words, with its earliest arrival;
+* ``keys``: the MinHash band keys under which an edited text is found again.
 
 A batch is hashed once and shuffled to the history's buckets; the history side
-of each join is read bucket by bucket and never moved, and nothing of it is
-hashed again.  Digests and paragraphs are met by semi-joins on pre-aggregated
-hashes: full copies, and the share of a text's paragraphs seen before.
-
-Paragraph hashes alone miss a text with an edit in every paragraph, so the near
-stage takes the same bucketed path with the keys of circulant MinHash bands,
-which need no statistics and so stay comparable from batch to batch; both sides of that join lie in the same buckets, so it moves nothing.  What is
-found is compared exactly.  Then the batch's hashes are appended.
+of each join is read bucket by bucket and never moved, aggregated or hashed
+again.  Three routes decide, each for what the ones before left open:
+
+1. the digest was seen earlier;
+2. an earlier text shares paragraphs with so many words that the two must be
+   near: hashes alone decide this, no text is compared;
+3. the rest, texts with edits in several paragraphs, meets by band keys (which
+   need no statistics, so those of all batches compare) and is compared exactly.
+
+Then the batch's hashes are appended.  A batch is committed by one marker, the
+last file written; what an unfinished batch left is removed when the history is
+next opened or asked, and a batch that is already committed gives its stored
+result, so a batch can be repeated after any failure.  One writer at a time.
 """
 
 from __future__ import annotations
 
+import io
+import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone import storage
 from siltstone.llm import bags as B
 from siltstone.llm import nearpairs as N
-from siltstone.storage import materialize, register_path, shared_dir
+from siltstone.storage import materialize
+
+TABLES = {  # columns and the one that places a row in its bucket
+    "digests": ("digest string, first bigint", "digest"),
+    "parts": ("part bigint, m int, first bigint", "part"),
+    "bags": ("bag_id bigint, proof bigint, bag string, first bigint", "bag_id"),
+    "keys": ("key bigint, bag_id bigint, s1 bigint, s2 bigint, role tinyint", "key"),
+}
+RESULT = "item string, at bigint, copied boolean, coverage double, covered boolean, near boolean"
+NO_TEXT = 1 << 30  # words of a text that is near nothing
 
 
-def paragraph_hashes(text: Column) -> Column:
-    """Distinct hashes of a text's paragraphs: lines and sentences with a word in them, in plain words."""
+def paragraphs(text: Column) -> Column:
+    """The words of each paragraph: lines and sentences with a word in them."""
     pieces = F.split(F.coalesce(text, F.lit("")), r"[\r\n]+|(?<=[.!?])\s+")
-    plain = F.transform(pieces, lambda p: F.array_join(B.words_of(p), " "))
-    return F.array_distinct(F.transform(F.filter(plain, lambda p: p != ""), lambda p: F.xxhash64(p)))
+    return F.filter(F.transform(pieces, B.words_of), lambda w: F.size(w) > 0)
+
+
+def parts(hashed: Column, every: Column, total: Column, n: Column, t: Fraction) -> Column:
+    """(part, s, single) of a text of n words: each paragraph; all; all but one, if they have s >= t * n words.
+
+    ``hashed``: distinct (h, s) of the paragraphs; ``every``: all h together; ``total``: all s.
+    """
+    part = lambda h, s, single: F.struct(h.alias("part"), s.alias("s"), F.lit(single).alias("single"))
+    none = F.array().cast("array<struct<part:bigint,s:int,single:boolean>>")
+    enough = lambda p: p.s * t.denominator >= n * t.numerator
+    return F.concat(
+        F.transform(hashed, lambda p: part(p.h, p.s, True)),
+        F.when(F.size(hashed) > 1, F.filter(F.array(part(every, total, False)), enough)).otherwise(none),
+        F.when(F.size(hashed) > 2, F.filter(F.transform(hashed, lambda p: part(every.bitwiseXOR(p.h), total - p.s, False)), enough)).otherwise(none),
+    )
 
 
 @dataclass
 class Settings:
     threshold: float = 0.7
     min_words: int = 8
-    bands: int = 20
-    rows: int = 3
-    buckets: int | None = None  # of the history's tables, for good; by default the session's shuffle partitions, 16 to 96
+    bands: int = 26
+    rows: int = 4
+    buckets: int | None = None  # of the history's tables, for good; by default the session's shuffle partitions, 16 at least
+    hot: int = N.HOT
 
 
 class History:
-    """Accepted records.  ``check`` must see batches in the order of arrival."""
-
-    def __init__(self, spark: SparkSession, settings: Settings | None = None):
-        self.spark, self.settings = spark, settings or Settings()
-        self.buckets = self.settings.buckets or min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16), 96)
-        self.prefix = f"history_{uuid.uuid4().hex}"
-        self.batches = 0
-
-    def _table(self, name: str) -> DataFrame | None:
-        table = f"{self.prefix}_{name}"
-        return self.spark.read.table(table) if self.spark.catalog.tableExists(table) else None
-
-    def _append(self, name: str, key: str, rows: DataFrame) -> None:
-        path = f"{shared_dir(self.spark)}/{self.prefix}_{name}"
-        register_path(self.spark, path)
-        (
-            rows.repartition(self.buckets, key)
-            .write.mode("append")
-            .bucketBy(self.buckets, key)
-            .sortBy(key)
-            .option("path", path)
-            .option("compression", "zstd")
-            .saveAsTable(f"{self.prefix}_{name}")
-        )
+    """Accepted records in a folder.  ``check`` must see batches in the order of arrival.
+
+    An existing folder is opened with the settings it was made with.  Without a
+    path the history lives in the session's shared folder and ends with the process.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, settings: Settings | None = None):
+        self.spark = spark
+        if path is None:
+            path = f"{storage.shared_dir(spark)}/history-{uuid.uuid4().hex}"
+            storage.register_path(spark, path)
+        self.path, self.session_name = path.rstrip("/"), f"history_{uuid.uuid4().hex}"
+        if not storage.exists(spark, f"{self.path}/history.json"):
+            s = settings or Settings()
+            s.buckets = s.buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16)
+            self._describe(s, 0)
+        described = json.loads(storage.read_bytes(spark, f"{self.path}/history.json"))
+        self.settings, self.generation = Settings(**described["settings"]), described["generation"]
+        self._recover()
+
+    # ------------------------------------------------------------ files
+
+    def _describe(self, settings: Settings, generation: int) -> None:
+        text = json.dumps({"settings": asdict(settings), "generation": generation})
+        storage.write_bytes(self.spark, f"{self.path}/history.json", text.encode(), keep=True)
+
+    def _folder(self, name: str) -> str:
+        return f"{self.path}/gen{self.generation}/{name}"
 
-    def _first(self, name: str, key: str, here: DataFrame) -> DataFrame:
-        """Earliest arrival of the batch's keys, in it or in the history; the batch's own are appended."""
-        known = self._table(name)
-        own = here.groupBy(key).agg(F.min("at").alias("first"))
-        if known is not None:
-            before = known.groupBy(key).agg(F.min("first").alias("before"))  # bucket-local
-            own = own.join(before, key, "left").select(
-                key, F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known")
+    def _name(self, name: str) -> str:
+        return f"{self.session_name}_{self.generation}_{name}"
+
+    def _recover(self) -> None:
+        """Read which batches are committed; remove what others left."""
+        numbers = {int(n.split(".")[0]): n for n in storage.names(self.spark, f"{self.path}/commits")}
+        self.committed = {storage.read_bytes(self.spark, f"{self.path}/commits/{f}").decode(): n for n, f in sorted(numbers.items())}
+        for generation in storage.names(self.spark, self.path):
+            if generation.startswith("gen") and generation != f"gen{self.generation}":
+                storage.remove(self.spark, f"{self.path}/{generation}")
+        for name in (*TABLES, "results"):
+            for folder in storage.names(self.spark, self._folder(name)):
+                if folder.startswith("batch=") and folder != "batch=-1" and int(folder[6:]) not in numbers:
+                    storage.remove(self.spark, f"{self._folder(name)}/{folder}")
+        for name, (columns, key) in TABLES.items():
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
+            self.spark.sql(
+                f"CREATE TABLE {self._name(name)} ({columns}, batch int) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (batch) "
+                f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.settings.buckets} BUCKETS LOCATION '{self._folder(name)}'"
             )
-        else:
-            own = own.withColumn("known", F.lit(False))
-        own = materialize(own, name)
-        self._append(name, key, own.where("not known").select(key, "first"))
-        return own
+            if storage.exists(self.spark, self._folder(name)):
+                self.spark.catalog.recoverPartitions(self._name(name))
+        self.number = max(numbers, default=-1) + 1
+        self.refining = None
+        for file in sorted(storage.names(self.spark, f"{self.path}/refining"), key=lambda f: int(f.split(".")[0])):
+            if int(file.split(".")[0]) in numbers:
+                data = np.load(io.BytesIO(storage.read_bytes(self.spark, f"{self.path}/refining/{file}")))
+                self.refining = N.Refining(data["keys"], data["frequent"], data["place"])
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.table(self._name(name))
+
+    def _append(self, name: str, rows: DataFrame, number: int | None = None, to: str | None = None) -> None:
+        key = TABLES[name][1]
+        writer = rows.withColumn("batch", F.lit(self.number if number is None else number)).repartition(self.settings.buckets, key).write.mode("append")
+        writer = writer.partitionBy("batch").bucketBy(self.settings.buckets, key).sortBy(key).option("compression", "zstd")
+        writer.option("path", to or self._folder(name)).saveAsTable(self._name(name) + ("_next" if to else ""))
 
-    def check(self, batch: DataFrame) -> DataFrame:
+    def compact(self) -> None:
+        """All batches' files into one per bucket.  The new tables count from the moment the description names them."""
+        to = self.generation + 1
+        storage.remove(self.spark, f"{self.path}/gen{to}")
+        for name in TABLES:
+            folders = [f"{self._folder(name)}/{n}" for n in storage.names(self.spark, self._folder(name))]
+            if not folders:
+                continue
+            kept = self.spark.read.schema(TABLES[name][0]).parquet(*folders)
+            self._append(name, kept.where("role <> 2") if name == "keys" else kept, -1, f"{self.path}/gen{to}/{name}")
+            self.spark.sql(f"DROP TABLE {self._name(name)}_next")
+        results = f"{self._folder('results')}"
+        if storage.exists(self.spark, results):
+            self.spark.read.schema(RESULT + ", batch int").parquet(results).write.partitionBy("batch").parquet(f"{self.path}/gen{to}/results")
+        self._describe(self.settings, to)
+        self.generation = to
+        self._recover()
+
+    # ------------------------------------------------------------ batches
+
+    def check(self, batch: DataFrame, batch_id: str | None = None) -> DataFrame:
         """Check a batch (item, digest, text, at) and accept it.
 
-        Gives (item, copied, coverage, near) of each distinct item and arrival:
-        whether something that arrived strictly earlier, in this batch or any
-        before, has its digest; the share of its paragraphs that an earlier
-        record has; whether an earlier text is near its own (an equal text is).
-        Rows without an item or arrival are not checked and not accepted.  A
-        null digest matches nothing; a text without paragraphs has coverage 0;
-        one with fewer than ``min_words`` words is near nothing.  Repeated rows
-        count once; an empty batch gives an empty result.
+        Gives (item, at, copied, coverage, covered, near) of each distinct item
+        and arrival: whether something that arrived strictly earlier, in this
+        batch or any before, has its digest; the share of its paragraphs that an
+        earlier record has; whether shared paragraphs show an earlier text to be
+        near; whether, where none of these decides, an earlier text is near its
+        own (an equal text is).  A batch id that was accepted before gives the
+        result of then.  Rows without an item or arrival are not checked and not
+        accepted.  A null digest matches nothing; a text without paragraphs has
+        coverage 0; one with fewer than ``min_words`` words is near nothing.
+        Repeated rows count once; an empty batch gives an empty result.
         """
-        s, number = self.settings, self.batches
-        self.batches += 1
-        batch = batch.select("item", "digest", "text", "at").where("item is not null and at is not null").distinct()
-
-        digests = batch.where("digest is not null").select("item", "at", "digest")
-        first = self._first("digests", "digest", digests)
-        copied = digests.join(first, "digest").where("first < at").select("item", "at").distinct().withColumn("copied", F.lit(True))
-
-        paragraphs = batch.select("item", "at", F.explode(paragraph_hashes(F.col("text"))).alias("paragraph")).distinct()
-        first = self._first("paragraphs", "paragraph", paragraphs)
-        covered = (
-            paragraphs.join(first, "paragraph").groupBy("item", "at").agg(F.avg((F.col("first") < F.col("at")).cast("int")).alias("coverage"))
-        )
+        batch_id = batch_id or uuid.uuid4().hex
+        self._recover()
+        if batch_id not in self.committed:
+            found = self._checked(batch)
+            found.write.option("compression", "zstd").parquet(f"{self._folder('results')}/batch={self.number}")
+            self._refine()
+            storage.write_bytes(self.spark, f"{self.path}/commits/{self.number}.txt", batch_id.encode(), keep=True)
+            self._recover()
+        return self.spark.read.schema(RESULT).parquet(f"{self._folder('results')}/batch={self.committed[batch_id]}")
 
-        near = self._near(batch, number).withColumn("near", F.lit(True))
-        return (
-            batch.select("item", "at").distinct()
-            .join(copied, ["item", "at"], "left").join(covered, ["item", "at"], "left").join(near, ["item", "at"], "left")
-            .select("item", *(F.coalesce(c, F.lit(d)).alias(c) for c, d in (("copied", False), ("coverage", 0.0), ("near", False))))
+    def _checked(self, batch: DataFrame) -> DataFrame:
+        s = self.settings
+        t = Fraction(s.threshold).limit_denominator(1000)
+        batch = batch.select(F.col("item").cast("string").alias("item"), "digest", "text", F.col("at").cast("long").alias("at"))
+        batch = batch.where("item is not null and at is not null").distinct().withColumn("w", paragraphs(F.col("text"))).drop("text")
+        hashed = F.array_distinct(F.transform("w", lambda w: F.struct(F.xxhash64(F.array_join(w, " ")).alias("h"), F.size(w).alias("s"))))
+        words = F.flatten("w")
+        batch = batch.select("item", "at", "digest", F.size(words).alias("n"), F.array_join(F.sort_array(words), " ").alias("bag"), hashed.alias("hashed"))
+        every = F.aggregate("hashed", F.lit(0).cast("long"), lambda a, p: a.bitwiseXOR(p.h))
+        total = F.aggregate("hashed", F.lit(0), lambda a, p: a + p.s)
+        batch = batch.select("item", "at", "digest", "n", "bag", "hashed", every.alias("every"), total.alias("total"))
+        long_enough = F.col("n") >= s.min_words
+        batch = materialize(
+            batch.select(
+                "item", "at", "digest", "n", F.when(long_enough, F.col("bag")).alias("bag"), F.when(long_enough, F.xxhash64("bag")).alias("bag_id"),
+                parts(F.col("hashed"), F.col("every"), F.col("total"), F.col("n"), t).alias("parts"),
+            ),
+            "batch",
+        )
+        copied = self._copied(batch)
+        covered = self._covered(batch, t)
+        keys = ["item", "at"]
+        routed = (
+            batch.select(*keys, "bag_id").distinct().join(copied.withColumn("copied", F.lit(True)), keys, "left").join(covered, keys, "left")
+            .select(*keys, "bag_id", *(F.coalesce(c, F.lit(d)).alias(c) for c, d in (("copied", False), ("coverage", 0.0), ("covered", False))))
         )
+        routed = materialize(routed, "routed")
+        near = self._near(batch, routed).withColumn("near", F.lit(True))
+        out = routed.groupBy(*keys).agg(*(F.max(c).alias(c) for c in ("copied", "coverage", "covered")))
+        return out.join(near, keys, "left").withColumn("near", F.coalesce("near", F.lit(False)))
 
-    def _near(self, batch: DataFrame, number: int) -> DataFrame:
-        """Distinct (item, at) that an earlier text is near."""
+    def _copied(self, batch: DataFrame) -> DataFrame:
+        """Distinct (item, at) whose digest arrived earlier."""
+        digests = batch.where("digest is not null").select("item", "at", "digest").distinct()
+        own = digests.groupBy("digest").agg(F.min("at").alias("first"))
+        known = self.table("digests").select("digest", F.col("first").alias("before"))
+        own = own.join(known, "digest", "left").select("digest", F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known"))
+        own = materialize(own, "digests")  # a written side: a hot digest's rows can be split as a skewed join
+        self._append("digests", own.where("not known").select("digest", "first"))
+        return digests.join(own, "digest").where("first < at").select("item", "at").distinct()
+
+    def _covered(self, batch: DataFrame, t: Fraction) -> DataFrame:
+        """(item, at, coverage, covered) of the items with paragraphs.
+
+        Two texts of n and m words that share paragraphs with s words are near
+        for certain if s >= t * (n + m - s).  Of each part the shortest and the
+        earliest text are kept, so no pairs of texts are made.
+        """
+        each = batch.select("item", "at", "n", F.inline("parts"))
+        m = F.when(F.col("n") >= self.settings.min_words, F.col("n")).otherwise(NO_TEXT).alias("m")
+        own = each.select("part", m, "at").groupBy("part").agg(F.min(F.struct("m", F.col("at").alias("first"))).alias("least"), F.min("at").alias("first"))
+        known = self.table("parts").select("part", F.struct("m", "first").alias("known"), F.col("first").alias("before"))
+        seen = own.join(known, "part", "left").groupBy("part").agg(
+            F.first("least").alias("own"), F.min("known").alias("known"), F.min(F.least("first", "before")).alias("first")
+        )
+        seen = materialize(seen, "parts")
+        better = F.col("known").isNull() | (F.col("own.m") < F.col("known.m"))
+        self._append("parts", seen.where(better).select("part", "own.m", "own.first"))
+        lookup = seen.select("part", "first", "own", "known")
+        enough = lambda x: (
+            F.col(x).isNotNull() & (F.col(f"{x}.first") < F.col("at")) & (F.col("n") >= self.settings.min_words)
+            & (F.col("s").cast("long") * (t.denominator + t.numerator) >= (F.col("n") + F.col(f"{x}.m")) * F.lit(t.numerator).cast("long"))
+        )
+        early = F.when(F.col("single"), (F.col("first") < F.col("at")).cast("int"))
+        return each.join(lookup, "part").groupBy("item", "at").agg(
+            F.avg(early).alias("coverage"), F.coalesce(F.bool_or(enough("own") | enough("known")), F.lit(False)).alias("covered")
+        )
+
+    def _near(self, batch: DataFrame, routed: DataFrame) -> DataFrame:
+        """Distinct (item, at) left open so far that an earlier text is near."""
         s = self.settings
-        timed = batch.select(F.struct("item", "at").alias("who"), "text")
-        words = timed.select("who", B.words_of(F.col("text")).alias("w")).where(F.size("w") >= s.min_words)
-        bagged = words.select("who", F.array_join(F.sort_array("w"), " ").alias("bag")).withColumn("bag_id", F.xxhash64("bag"))
-        members = bagged.select("who.item", "who.at", "bag_id").distinct()
-
-        earliest = bagged.groupBy("bag_id", "bag").agg(F.min("who.at").alias("first"))
-        known = self._table("bags")
-        if known is not None:
-            before = known.select("bag_id", F.col("first").alias("before"))
-            earliest = earliest.join(before, "bag_id", "left").select(
-                "bag_id", "bag", F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known")
-            )
+        left = routed.where("bag_id is not null and not copied and not covered").select("bag_id", "at").groupBy("bag_id").agg(F.min("at").alias("open"))
+        own = batch.where("bag_id is not null").groupBy("bag_id").agg(
+            F.first("bag").alias("bag"), F.min("at").alias("first"), F.min(F.xxhash64("bag", F.lit(1))).alias("proof"), F.max(F.xxhash64("bag", F.lit(1))).alias("other")
+        )
+        known = self.table("bags").select("bag_id", F.col("proof").alias("_proof"), F.col("first").alias("before"))
+        own = own.join(known, "bag_id", "left").join(left, "bag_id", "left").select(
+            "bag_id", "bag", "proof", F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known"),
+            F.coalesce(F.col("open") <= F.least("first", "before"), F.lit(False)).alias("probe"),
+            ((F.col("proof") != F.col("other")) | F.coalesce(F.col("proof") != F.col("_proof"), F.lit(False))).alias("clash"),
+        )
+        own = materialize(own, "bags")
+        if own.where("clash").limit(1).count():
+            raise RuntimeError("two texts have one 64-bit hash")
+        self._append("bags", own.where("not known").select("bag_id", "proof", "bag", "first"))
+        self._append("keys", N.band_rows(own.where("probe or not known"), s.bands, s.rows, self.refining, s.threshold, roles=True))
+
+        keys, bags = self.table("keys"), self.table("bags")
+        probes = N.side(keys.where((F.col("batch") == self.number) & (F.col("role") >= 2)), "a")
+        met = probes.join(N.side(keys.where("role <> 2"), "b"), "key").where("bag_id_a <> bag_id_b")
+        pairs = met.where(N.sketches_allow(s.threshold)).select(F.col("bag_id_a").alias("a"), F.col("bag_id_b").alias("b"))
+        links = N.verified(pairs.distinct(), bags, s.threshold)
+        partner = links.join(bags.select(F.col("bag_id").alias("b"), "first"), "b").groupBy(F.col("a").alias("bag_id")).agg(F.min("first").alias("partner"))
+        earlier = materialize(own.select("bag_id", "first").join(partner, "bag_id", "left").select("bag_id", F.least("first", "partner").alias("earlier")), "earlier")
+        open_items = routed.where("bag_id is not null and not copied and not covered").select("item", "at", "bag_id")
+        return open_items.join(earlier, "bag_id").where("earlier < at").select("item", "at").distinct()
+
+    def _refine(self) -> None:
+        """Band keys that have become hot are stored refined from the next batch on; the order of elements is set once."""
+        s, bags = self.settings, self.table("bags")
+        sample = N.hot_sample(bags, s.hot)
+        n = bags.count()
+        if n <= s.hot:
+            return
+        ids = sample.select("bag_id")
+        keys = N.hot_keys(self.table("keys").where("role <> 2").join(ids, "bag_id", "left_semi"), max(s.hot, 2 * s.bands * n // N.MAX_HOT_KEYS))
+        if self.refining is not None:
+            keys = np.union1d(keys, self.refining.keys)
+            order = (self.refining.frequent, self.refining.place)
+        elif len(keys):
+            order = N.element_order(sample)
         else:
-            earliest = earliest.withColumn("known", F.lit(False))
-        earliest = materialize(earliest, "bags")
-        new = earliest.where("not known")
-        self._append("bags", "bag_id", new.select("bag_id", "bag", "first"))
-        keys = N.band_rows(new, s.bands, s.rows).withColumn("batch", F.lit(number))
-        self._append("keys", "key", keys)
-
-        every, bags = self._table("keys"), self._table("bags")
-        met = N.side(every.where(F.col("batch") == number), "a").join(N.side(every, "b", "batch"), "key")
-        once = (F.col("batch_b") < number) | (F.col("bag_id_a") < F.col("bag_id_b"))
-        pairs = met.where(once & N.sketches_allow(s.threshold)).select(F.col("bag_id_a").alias("a"), F.col("bag_id_b").alias("b"))
-        links = materialize(N.verified(pairs.distinct(), bags, s.threshold), "links")
-
-        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        arrived = bags.select(F.col("bag_id").alias("b"), "first")
-        partner = ends.join(arrived, "b").groupBy(F.col("a").alias("bag_id")).agg(F.min("first").alias("partner"))
-        earlier = earliest.join(partner, "bag_id", "left").select("bag_id", F.least("first", "partner").alias("earlier"))
-        return members.join(earlier, "bag_id").where("earlier < at").select("item", "at").distinct()
+            return
+        packed = io.BytesIO()
+        np.savez(packed, keys=keys, frequent=order[0], place=order[1])
+        storage.write_bytes(self.spark, f"{self.path}/refining/{self.number}.npz", packed.getvalue(), keep=True)
 
 
 def check_in_batches(spark: SparkSession, arrived: DataFrame, batches: int = 3, settings: Settings | None = None) -> DataFrame:
     """``check`` over all of ``arrived`` (item, digest, text, at), cut into batches in the order of arrival.
 
-    The result doesn't depend on the number of batches: inside a batch, too,
-    only what arrived strictly earlier counts.
+    What is copied or near doesn't depend on the number of batches: inside a
+    batch, too, only what arrived strictly earlier counts.
     """
     timed = materialize(arrived.where("at is not null"), "arrived")
     share = [i / batches for i in range(1, batches)]
     found = timed.agg(F.approx_percentile("at", share, 1000)).first()[0] if share else None
     cuts = [None, *sorted(set(found or [])), None]
-    history = History(spark, settings)
+    history = History(spark, settings=settings)
     out = None
     for after, until in zip(cuts, cuts[1:]):
         inside = (F.col("at") > after if after is not None else F.lit(True)) & (F.col("at") <= until if until is not None else F.lit(True))
-        checked = materialize(history.check(timed.where(inside)), "checked")
+        checked = history.check(timed.where(inside))
         out = checked if out is None else out.unionByName(checked)
     return out

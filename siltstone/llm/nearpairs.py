@@ -132,11 +132,13 @@ def prefixes(elems: np.ndarray, starts: np.ndarray, sizes: np.ndarray, refining:
 
 
 def band_rows(
-    classes: DataFrame, bands: int, rows: int, refining: Refining | None = None, threshold: float = 0.7, plain_too: bool = False
+    classes: DataFrame, bands: int, rows: int, refining: Refining | None = None, threshold: float = 0.7, roles: bool = False
 ) -> DataFrame:
     """One row per bag and band (per prefix element instead, where the key is refined): key, bag_id, sketch and size in two halves.
 
-    With ``plain_too`` refined keys come besides the plain ones, not in their place.
+    With ``roles``, ``classes`` says of each bag whether it is a ``probe``; a
+    row's role is 1 (to be kept), 3 (kept, and of a probe) or 2: a probe's plain
+    key that is refined, to meet what was kept before it was.
     """
     t = Fraction(threshold).limit_denominator(1000)
     shared = classes.sparkSession.sparkContext.broadcast(refining) if refining is not None and len(refining.keys) else None
@@ -146,6 +148,8 @@ def band_rows(
             elems, starts, sizes = B.elements(batch.column(1))
             keys = _band_keys(signatures(elems, starts, bands * rows), bands, rows).reshape(-1)
             bag = np.tile(np.arange(len(sizes)), bands)
+            probe = batch.column(2).to_numpy(zero_copy_only=False).astype(bool) if roles else np.zeros(len(sizes), dtype=bool)
+            role = np.where(probe, 3, 1).astype(np.int8)[bag]
             if shared is not None:
                 hot = shared.value.hot(keys)
                 if hot.any():
@@ -156,14 +160,16 @@ def band_rows(
                     element = first[np.repeat(at[bag[hot]], each) + inside]
                     with np.errstate(over="ignore"):
                         finer = B.mix(np.repeat(keys[hot], each) * np.uint64(0x9E3779B97F4A7C15) + element)
-                    kept = np.ones(len(keys), dtype=bool) if plain_too else ~hot
+                    kept = ~hot | probe[bag]
+                    role = np.concatenate([np.where(hot, 2, role)[kept], np.repeat(role[hot], each)]).astype(np.int8)
                     keys, bag = np.concatenate([keys[kept], finer]), np.concatenate([bag[kept], np.repeat(bag[hot], each)])
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(ids[bag]), *(pa.array(half[bag]) for half in _sketch(elems, starts, sizes))],
-                ["key", "bag_id", "s1", "s2"],
-            )
+            columns = [keys.view(np.int64), ids[bag], *(half[bag] for half in _sketch(elems, starts, sizes)), role]
+            names = ["key", "bag_id", "s1", "s2", "role"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns[: 4 + roles]], names[: 4 + roles])
 
+    if roles:
+        return classes.select("bag_id", "bag", "probe").mapInArrow(sign, BAND_ROW + ", role tinyint")
     return classes.select("bag_id", "bag").mapInArrow(sign, BAND_ROW)
 
 

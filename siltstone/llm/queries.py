@@ -70,8 +70,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"group_id": "canonical_id", "record": "skill_id"})
 
 
-def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Skills that repeat the content or the description of a skill of an earlier batch."""
+def _p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     crawls = (
         _read(spark, sf_dir, "crawl_state")
         .where("head_sha is not null and crawled_at is not null")
@@ -85,8 +84,19 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = _read(spark, sf_dir, "skill_metadata").select(
         F.col("skill_id").alias("item"), C.digest_key(F.col("content_hash")).alias("digest"), F.col("description").alias("text")
     )
-    checked = check_in_batches(spark, meta.join(arrivals, "item"))
-    return checked.where("copied or near").select(F.col("item").alias("skill_id")).distinct()
+    return check_in_batches(spark, meta.join(arrivals, "item"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skills that repeat the content or the description of a skill of an earlier batch."""
+    checked = _p3_checked(spark, sf_dir).where("copied or covered or near")
+    return checked.select(F.col("item").alias("skill_id")).distinct()
+
+
+def p3_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked skills by the route that decided first: digest, shared paragraphs, band keys, or none."""
+    route = F.when(F.col("copied"), "1 digest").when(F.col("covered"), "2 paragraphs").when(F.col("near"), "3 band keys").otherwise("none")
+    return _p3_checked(spark, sf_dir).groupBy(route.alias("route")).agg(F.count("*").alias("n"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -235,7 +235,7 @@ def test_batches(spark, batches):
         if i and at is not None and any(o != i and at2 is not None and at2 < at and ((h and h == h2) or similar(t, t2)) for o, h2, t2, at2 in rows if o):
             expected.add(i)
     df = spark.createDataFrame(rows + rows[:4], "item string, digest string, text string, at long")
-    got = check_in_batches(spark, df, batches, Settings(buckets=2, bands=30)).where("copied or near")
+    got = check_in_batches(spark, df, batches, Settings(buckets=2, bands=30)).where("copied or covered or near")
     assert {r.item for r in got.collect()} == expected
     assert check_in_batches(spark, df.limit(0), batches, Settings(buckets=2)).count() == 0
 
@@ -245,15 +245,81 @@ def test_history_of_a_template(spark, others):
     """A first batch of one text and its template: later texts of the template are found, with the production bands."""
     rows = template_texts(21, others)
     batch = lambda items, at: spark.createDataFrame([(i, None, t, at) for i, t in items], "item string, digest string, text string, at long")
-    history = History(spark, Settings(buckets=2))
-    assert not history.check(batch(rows[:1] + rows[21:], 1)).where("near").count()
+    history = History(spark, settings=Settings(buckets=2))
+    assert not history.check(batch(rows[:1] + rows[21:], 1)).where("covered or near").count()
     assert {r.item for r in history.check(batch(rows[1:21], 2)).where("near").collect()} == {i for i, _ in rows[1:21]}
 
 
+SENTENCES = ["Maps the open files of a folder to rows.", "Keeps one row for each of them in order.", "Writes charts of what was read before noon.", "Closes every file when the last row is out."]
+
+
 def test_history_sees_paragraphs(spark):
     schema = "item string, digest string, text string, at long"
-    history = History(spark, Settings(buckets=2))
-    first = history.check(spark.createDataFrame([("a", "h", "First paragraph here.\nSecond one there.", 1)], schema)).collect()
-    second = history.check(spark.createDataFrame([("b", "h", "second ONE there!\nAnother of its own.", 2), ("c", "x", "First, paragraph here", 2)], schema))
-    assert [(r.copied, r.coverage, r.near) for r in first] == [(False, 0.0, False)]
-    assert {(r.item, r.copied, r.coverage) for r in second.collect()} == {("b", True, 0.5), ("c", False, 1.0)}
+    history = History(spark, settings=Settings(buckets=2))
+    first = history.check(spark.createDataFrame([("a", "h", " ".join(SENTENCES), 1)], schema)).collect()
+    rows = [
+        ("b", "h", "closes EVERY file when the last row is out!\nAnother line of its own with some more words.", 2),
+        ("c", "x", "\n".join([*SENTENCES[1:], "New one."]), 2),  # all but one
+        ("d", None, " ".join(SENTENCES) + " And more.", 2), ("e", None, None, 2), ("f", None, "Keeps one row for each of them in order", 2),
+        ("g", None, " ".join(s.replace(" the ", " a ").replace("row", "line").replace("charts", "plots") for s in SENTENCES), 2),  # an edit in every sentence
+    ]
+    second = history.check(spark.createDataFrame(rows, schema))
+    assert [(r.copied, r.coverage, r.covered, r.near) for r in first] == [(False, 0.0, False, False)]
+    assert {(r.item, r.copied, r.coverage, r.covered, r.near) for r in second.collect()} == {
+        ("b", True, 0.5, False, False), ("c", False, 0.75, True, False), ("d", False, 0.8, True, False), ("e", False, 0.0, False, False),
+        ("f", False, 1.0, False, False), ("g", False, 0.0, False, similar(rows[5][2], " ".join(SENTENCES))),
+    }
+
+
+def batch_rows(seed, n=40):
+    rng = random.Random(seed)
+    return [(f"{seed}-{i}", f"d{rng.randrange(60)}" if rng.random() < 0.3 else None, t, 100 * seed + rng.randrange(50)) for i, t in texts(seed % 2, n)]
+
+
+def same(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_history_outlives_sessions(spark, tmp_path):
+    """A second process asks yesterday's history; a batch that broke off is repeated; a repeated batch gives what it gave."""
+    schema = "item string, digest string, text string, at long"
+    one, two, three = (spark.createDataFrame(batch_rows(i), schema) for i in (1, 2, 3))
+    whole = History(spark, f"file://{tmp_path}/whole", Settings(buckets=2))
+    expected = [same(whole.check(b, name)) for name, b in (("one", one), ("two", two), ("three", three))]
+
+    path = f"file://{tmp_path}/h"
+    assert same(History(spark, path, Settings(buckets=2)).check(one, "one")) == expected[0]
+    again = spark.newSession()
+    broken = History(again, path)
+    assert broken.settings.buckets == 2 and list(broken.committed) == ["one"]
+    append = broken._append
+
+    def failing(name, *rest):
+        if name == "keys":
+            raise OSError("lost")
+        append(name, *rest)
+
+    broken._append = failing
+    with pytest.raises(OSError):
+        broken.check(two, "two")
+    assert (tmp_path / "h/gen0/bags/batch=1").exists() and not (tmp_path / "h/gen0/keys/batch=1").exists()
+    repeated = History(again, path)
+    assert not (tmp_path / "h/gen0/bags/batch=1").exists()
+    assert same(repeated.check(two, "two")) == expected[1] and same(repeated.check(one, "one")) == expected[0]
+    repeated.compact()
+    assert len(list((tmp_path / "h/gen1/bags").rglob("*.parquet"))) <= 2 and not (tmp_path / "h/gen0").exists()
+    last = History(spark.newSession(), path)
+    assert same(last.check(three, "three")) == expected[2] and same(last.check(two, "two")) == expected[1]
+
+
+def test_history_with_refined_keys(spark):
+    """Texts kept before a key became hot are met by those that come after, and the other way round."""
+    rows = template_texts(60, 20)
+    history = History(spark, settings=Settings(buckets=2, hot=8))
+    found = set()
+    for k in range(4):
+        part = [(i, None, t, 10 * k + n % 3) for n, (i, t) in enumerate(rows) if n % 4 == k]
+        found |= {r.item for r in history.check(spark.createDataFrame(part, "item string, digest string, text string, at long")).where("near").collect()}
+    assert history.refining is not None and history.table("keys").where("role = 2").count()
+    early = {i for n, (i, _) in enumerate(rows[:60]) if n % 4 == 0 and n % 3 == 0}
+    assert found == {i for i, _ in rows[:60]} - early
