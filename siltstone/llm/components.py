@@ -8,8 +8,8 @@ smallest.  The rounds grow with the logarithm of the longest chain.
 
 A cluster is a set of rows (vertex, member), never one array, so a vertex with
 a third of all rows is spread over tasks: its minimum is aggregated before the
-shuffle, and the join that sends it out may be split by adaptive execution.
-Each round is written to the shared folder, which cuts the lineage.
+shuffle and written, so that the join that sends it out has two plain sides and
+adaptive execution can split the hot vertex's rows over tasks.  Each round is written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
     clusters = materialize(start.distinct(), "clusters")
     state = _state(clusters)
     for _ in range(MAX_ROUNDS):
-        least = clusters.groupBy("v").agg(F.min("u").alias("m"))
+        least = materialize(clusters.groupBy("v").agg(F.min("u").alias("m")), "least")
         sent = clusters.join(least, "v").select(
             F.inline(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u"))))
         )
@@ -52,7 +52,7 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
             break
     else:
         raise RuntimeError("hash-to-min did not settle")
-    return clusters.groupBy(F.col("v").alias("vertex")).agg(F.min("u").alias("root"))
+    return materialize(clusters.groupBy(F.col("v").alias("vertex")).agg(F.min("u").alias("root")), "roots")
 
 
 def _seed_without_collisions(names: DataFrame) -> int:
@@ -83,4 +83,5 @@ def group_records(records: DataFrame, record_col: str, key: Column, links: DataF
     known = materialize(known, "known")
     # an id in several spellings is one vertex and may be several records
     groups = known.groupBy("root").agg(F.min("record").alias("group_id"), F.max("record").alias("last"))
-    return known.join(groups.where("group_id <> last"), "root").select("group_id", "record").distinct()
+    groups = materialize(groups.where("group_id <> last").select("root", "group_id"), "groups")
+    return known.join(groups, "root").select("group_id", "record").distinct()

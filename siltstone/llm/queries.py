@@ -43,6 +43,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_records(skills, "id", F.concat(F.lit("id "), own), links).withColumnRenamed("record", "skill_id")
 
 
+def _p2_records(spark: SparkSession, sf_dir: str, seen: DataFrame) -> DataFrame:
+    meta = _read(spark, sf_dir, "skill_metadata").select(
+        "skill_id", "canonical_id", "trust_tier", "description", "license", "security", "install_npx"
+    )
+    return meta.where("canonical_id is not null").join(seen, "skill_id", "left")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The surviving value of each field of the skills under one canonical_id."""
     seen = (
@@ -51,36 +58,47 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("skill_id")
         .agg(F.max("at").alias("at"))
     )
-    meta = _read(spark, sf_dir, "skill_metadata").select(
-        "skill_id", "canonical_id", "trust_tier", "description", "license", "security", "install_npx"
-    )
     found = survivors(
-        meta.where("canonical_id is not null").join(seen, "skill_id", "left"),
+        _p2_records(spark, sf_dir, seen),
         C.skill_key(F.col("canonical_id")),
         F.col("skill_id"),
         C.tier_rank(F.col("trust_tier")),
         F.col("at"),
         [
-            Field("description", C.NO_DESCRIPTION, drop_cut_beginnings=True, by_length=True),
+            Field("description", C.NO_DESCRIPTION, drop_cut_beginnings=True),
             Field("license", C.NO_LICENSE),
             Field("security", C.NO_SCAN),
-            Field("install_npx", C.STAND_INS, by_length=True),
+            Field("install_npx", C.STAND_INS),
         ],
     )
+    return found.select(F.col("group_id").alias("canonical_id"), "field_name", F.col("record").alias("skill_id"))
+
+
+def p2_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors of license and security by crawl time alone, all tiers alike; skills of unknown crawls have no time."""
+    skills = _read(spark, sf_dir, "skills").select(F.col("id").alias("skill_id"), F.lower("source.commit").alias("sha"))
+    seen = skills.join(_crawls(spark, sf_dir), "sha").groupBy("skill_id").agg(F.max("crawled").alias("at"))
+    found = survivors(
+        _p2_records(spark, sf_dir, seen), C.skill_key(F.col("canonical_id")), F.col("skill_id"), F.lit(0), F.col("at"),
+        [Field("license", C.NO_LICENSE), Field("security", C.NO_SCAN)],
+    )
     return found.withColumnsRenamed({"group_id": "canonical_id", "record": "skill_id"})
 
 
-def _p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    crawls = (
+def _crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         _read(spark, sf_dir, "crawl_state")
         .where("head_sha is not null and crawled_at is not null")
         .groupBy(F.lower("head_sha").alias("sha"))
         .agg(F.min(F.unix_micros("crawled_at")).alias("crawled"))
     )
+
+
+def _p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     skills = _read(spark, sf_dir, "skills").select(
         F.col("id").alias("item"), F.lower("source.commit").alias("sha"), C.moment(F.col("first_seen")).alias("seen")
     )
-    arrivals = skills.join(crawls, "sha", "left").groupBy("item").agg(F.min(F.coalesce("crawled", "seen")).alias("at"))
+    arrivals = skills.join(_crawls(spark, sf_dir), "sha", "left").groupBy("item").agg(F.min(F.coalesce("crawled", "seen")).alias("at"))
     meta = _read(spark, sf_dir, "skill_metadata").select(
         F.col("skill_id").alias("item"), C.digest_key(F.col("content_hash")).alias("digest"), F.col("description").alias("text")
     )

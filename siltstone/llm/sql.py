@@ -1,7 +1,7 @@
 """SQL of the queries that SQL can express, for an independent engine on the same tables.
 
 p2_found: ties of records without a time fall to the smallest id here; learned
-currency comes before that in the operator.
+currency comes before that in the operator.  p2_currency has both.
 """
 
 from __future__ import annotations
@@ -60,6 +60,21 @@ P2 = f"""WITH seen AS (SELECT id AS skill_id, max({_micros('first_seen')}) AS ts
     UNION ALL SELECT g, skill_id, tier, ts, 'install_npx' FROM k WHERE {_usable('install_npx', C.STAND_INS)})
 SELECT g AS canonical_id, field_name, skill_id FROM (SELECT *, row_number() OVER (PARTITION BY g, field_name ORDER BY tier, ts DESC NULLS LAST, skill_id) AS rn FROM u) WHERE rn = 1"""
 
+# values by their last time in each group, one after the other; majority precedences; among untimed records only, the value with the fewest after it
+P2_CURRENCY = f"""WITH crawls AS (SELECT lower(head_sha) AS sha, min(epoch_us(crawled_at)) AS ts FROM crawl_state WHERE head_sha IS NOT NULL AND crawled_at IS NOT NULL GROUP BY 1),
+  seen AS (SELECT id AS skill_id, max(ts) AS ts FROM skills JOIN crawls ON lower(source.commit) = sha GROUP BY id),
+  m AS (SELECT DISTINCT skill_id, {_key('canonical_id')} AS g, license, security FROM skill_metadata WHERE canonical_id IS NOT NULL),
+  k AS (SELECT m.*, ts FROM m LEFT JOIN seen USING (skill_id) WHERE g IN (SELECT g FROM m GROUP BY g HAVING count(DISTINCT skill_id) > 1)),
+  u AS (SELECT g, 'license' AS f, skill_id, ts, lower(trim(license)) AS v FROM k WHERE {_usable('license', C.NO_LICENSE)} UNION ALL SELECT g, 'security', skill_id, ts, lower(trim(security)) FROM k WHERE {_usable('security', C.NO_SCAN)}),
+  l AS (SELECT g, f, v, max(ts) AS ts FROM u WHERE ts IS NOT NULL GROUP BY 1, 2, 3),
+  s AS (SELECT f, v AS a, lead(v) OVER w AS b, ts, lead(ts) OVER w AS then_ts FROM l WINDOW w AS (PARTITION BY g, f ORDER BY ts, v)),
+  c AS (SELECT f, a, b, count(*) AS n FROM s WHERE then_ts > ts GROUP BY 1, 2, 3),
+  p AS (SELECT x.f, x.a, x.b FROM c x LEFT JOIN c y ON x.f = y.f AND x.a = y.b AND x.b = y.a WHERE x.n > coalesce(y.n, 0)),
+  o AS (SELECT DISTINCT g, f, v FROM u WHERE (g, f) NOT IN (SELECT (g, f) FROM u WHERE ts IS NOT NULL)),
+  e AS (SELECT x.g, x.f, x.v AS a, y.v AS b FROM o x JOIN p ON p.f = x.f AND p.a = x.v JOIN o y ON y.g = x.g AND y.f = x.f AND y.v = p.b),
+  r AS (SELECT u.*, coalesce(n_after, 0) AS n_after, coalesce(n_before, 0) AS n_before FROM u LEFT JOIN (SELECT g, f, a AS v, count(*) AS n_after FROM e GROUP BY 1, 2, 3) USING (g, f, v) LEFT JOIN (SELECT g, f, b AS v, count(*) AS n_before FROM e GROUP BY 1, 2, 3) USING (g, f, v))
+SELECT g AS canonical_id, f AS field_name, skill_id, n_after + n_before > 0 AS inferred FROM (SELECT *, row_number() OVER (PARTITION BY g, f ORDER BY ts DESC NULLS LAST, n_after, n_before DESC, skill_id) AS rn FROM r) WHERE rn = 1"""
+
 _NEAR = r"""m AS (SELECT DISTINCT skill_id, description FROM skill_metadata), w AS (SELECT skill_id, regexp_extract_all(lower(description), '[\p{L}\p{N}]+') AS w FROM m),
   t AS (SELECT skill_id, len(w) AS n, unnest(w) AS word FROM w WHERE len(w) >= 8), e AS (SELECT *, row_number() OVER (PARTITION BY skill_id, word) AS k FROM t),
   near AS (SELECT a.skill_id AS a, b.skill_id AS b FROM e a JOIN e b ON a.word = b.word AND a.k = b.k AND a.skill_id < b.skill_id GROUP BY a.skill_id, b.skill_id, a.n, b.n
@@ -72,4 +87,4 @@ P3 = f"""WITH {_NEAR}, crawls AS (SELECT lower(head_sha) AS sha, min(epoch_us(cr
 SELECT a.skill_id FROM h a JOIN h b ON a.h = b.h AND b.ts < a.ts
 UNION SELECT CASE WHEN x.ts < y.ts THEN y.skill_id ELSE x.skill_id END FROM near JOIN arrived x ON near.a = x.skill_id JOIN arrived y ON near.b = y.skill_id WHERE x.ts <> y.ts"""
 
-SQL = {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4}
+SQL = {"p1_found": P1, "p2_found": P2, "p2_currency": P2_CURRENCY, "p3_found": P3, "p4_found": P4}
