@@ -10,8 +10,11 @@ island is one task's worth and never more, whatever the table's size.  In an
 island several demes evolve apart and pass their elite on in a ring.  Between
 epochs elite bins (filled to ``SETTLED``) are settled; the items of the other
 bins migrate to new, far fewer islands, so what an island leaves over is packed
-with what others leave over.  An island stops as soon as it has as few bins as
-its items' sum allows, since none can do with fewer.
+with what others leave over.  Every island evolves for one migration of elites
+at least, best-fit decreasing being one of its first individuals; after that it
+stops as soon as it has as few bins as its items' sum allows, since none can do
+with fewer.  Epochs end when one island is left, or when an epoch settles less
+than half of what it was given.
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ from siltstone.llm import tokens as T
 from siltstone.storage import materialize
 
 ISLAND = 4000
-EPOCHS = 3
 SETTLED = 0.998
 DEMES, DEME_SIZE, GENERATIONS, MIGRATE_EVERY = 3, 4, 24, 6
 
@@ -101,7 +103,7 @@ def evolve(sizes: list[int], capacity: int, seed: int = 0, generations: int = GE
     items = list(range(len(sizes)))
     least = -(-sum(sizes) // capacity)
     first = best_fit(Packing([], []), _falling(items, sizes), sizes, capacity)
-    if len(first.bins) <= max(least, 1):
+    if len(first.bins) <= 1:
         return first
     rng = np.random.default_rng(seed)
     worth = lambda p: p.worth(capacity)
@@ -124,8 +126,8 @@ def evolve(sizes: list[int], capacity: int, seed: int = 0, generations: int = GE
             for d, deme in enumerate(demes):
                 deme.sort(key=worth, reverse=True)
                 deme[-1] = elite[d - 1]
-        if max(len(p.bins) == least for deme in demes for p in deme):
-            break
+            if max(len(p.bins) == least for deme in demes for p in deme):
+                break
     return max((p for deme in demes for p in deme), key=worth)
 
 
@@ -164,7 +166,7 @@ def _packer(epoch: int, last: bool, capacity: int):
     return one_island
 
 
-def pack(items: DataFrame, capacity: int, island: int = ISLAND, epochs: int = EPOCHS) -> DataFrame:
+def pack(items: DataFrame, capacity: int, island: int = ISLAND) -> DataFrame:
     """(bin, item, piece, size, load) of ``items`` (item, size).
 
     An item larger than the capacity is cut into full bins of its own (pieces 0,
@@ -185,10 +187,11 @@ def pack(items: DataFrame, capacity: int, island: int = ISLAND, epochs: int = EP
     left = cut.where("size > 0 or full = 0").select("item", F.col("full").alias("piece"), "size")
     kind = items.schema["item"].dataType.simpleString()
     schema = f"bin string, item {kind}, piece int, size long, load long, settled boolean"
-    out = full
-    for epoch in range(epochs):
-        islands = max(1, -(-left.count() // island))
-        last = islands == 1 or epoch == epochs - 1
+    out, count, epoch = full, left.count(), 0
+    before = 2 * count + 1
+    while True:
+        islands = max(1, -(-count // island))
+        last = islands == 1 or 2 * count > before
 
         spread = left.withColumn("island", F.pmod(F.xxhash64("item", F.lit(epoch)), F.lit(islands)))
         packed = materialize(spread.groupBy("island").applyInPandas(_packer(epoch, last, capacity), schema), f"epoch{epoch}")
@@ -196,4 +199,26 @@ def pack(items: DataFrame, capacity: int, island: int = ISLAND, epochs: int = EP
         if last:
             break
         left = packed.where("not settled").select("item", "piece", "size")
+        before, count, epoch = count, left.count(), epoch + 1
     return out
+
+
+def compare(items: DataFrame, capacity: int, island: int = ISLAND) -> DataFrame:
+    """(island, items, least, best_fit, genetic): bins of each island of ``items`` (item, size), none larger than the capacity.
+
+    ``least`` is the sum of sizes over the capacity, which no packing can beat;
+    ``best_fit`` is best-fit decreasing alone.  Null ids are left out, an id that
+    comes twice counts once, with its largest size.
+    """
+    distinct = materialize(items.where("item is not null").groupBy("item").agg(F.max("size").alias("size")).where(F.col("size") <= capacity), "sizes")
+    islands = max(1, -(-distinct.count() // island))
+
+    def one_island(pdf: pd.DataFrame) -> pd.DataFrame:
+        sizes = sorted(pdf["size"].tolist(), reverse=True)
+        at = int(pdf["island"].iloc[0])
+        plain = best_fit(Packing([], []), list(range(len(sizes))), sizes, capacity)
+        bins = len(plain.bins), len(evolve(sizes, capacity, seed=at).bins)
+        return pd.DataFrame({"island": [at], "items": [len(sizes)], "least": [-(-sum(sizes) // capacity)], "best_fit": [bins[0]], "genetic": [bins[1]]})
+
+    placed = distinct.withColumn("island", F.pmod(F.xxhash64("item"), F.lit(islands)))
+    return placed.groupBy("island").applyInPandas(one_island, "island long, items long, least long, best_fit long, genetic long")

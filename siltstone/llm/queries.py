@@ -13,7 +13,7 @@ from siltstone.llm.history import check_in_batches
 from siltstone.llm.lexicon import encode
 from siltstone.llm.licenses import file_licenses
 from siltstone.llm.nearpairs import near_duplicate_pairs
-from siltstone.llm.packing import pack, sized
+from siltstone.llm.packing import compare, pack, sized
 from siltstone.llm.splitting import split
 from siltstone.llm.sql import SQL
 from siltstone.llm.survivors import Field, survivors
@@ -144,6 +144,11 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnsRenamed({"bin": "container_id", "item": "doc_id", "size": "n_tokens", "load": "container_tokens"})
 
 
+def p7_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of 1024 tokens for documents of 200 to 1024, without the short ones that fill any gap: best fit alone, and evolved."""
+    return compare(sized(_read(spark, sf_dir, "documents"), "doc_id", "text").where("size >= 200"), 1024)
+
+
 def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of more than 1024 tokens in pieces that share up to 128 tokens."""
     return split(_read(spark, sf_dir, "documents"), "doc_id", "text")

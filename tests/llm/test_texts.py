@@ -10,7 +10,7 @@ import pytest
 from siltstone.llm import licenses as L
 from siltstone.llm import tokens as T
 from siltstone.llm.lexicon import Lexicon, encode, encode_batch
-from siltstone.llm.packing import evolve, pack, sized
+from siltstone.llm.packing import compare, evolve, pack, sized
 from siltstone.llm.splitting import ENDS, Traits, split
 
 VOCABULARY = f"{T.TOKENIZERS}/{T.VOCABULARY}"
@@ -126,6 +126,26 @@ def test_pack_table(spark, island):
     assert pack(items.limit(0), 100).count() == 0
 
 
+def test_evolution_runs_on_every_island(monkeypatch):
+    """Also where best fit has as few bins as can be; a bin that is settled stays full."""
+    from siltstone.llm import packing
+
+    crossed = []
+    real = packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: crossed.append(1) or real(*a))
+    sizes = sorted(range(1, 60), reverse=True)
+    packed = evolve(sizes, 100, 0)
+    assert crossed and len(packed.bins) == -(-sum(sizes) // 100)
+
+
+def test_compare(spark):
+    rng = random.Random(11)
+    items = spark.createDataFrame([(i, rng.randint(210, 480)) for i in range(900)] + [(None, 5), (7, 1), (1000, 5000)], "item long, size long")
+    rows = compare(items, 1000, island=300).collect()
+    assert sum(r["items"] for r in rows) == 900 and all(r.least <= r.genetic <= r.best_fit for r in rows) and sum(r.best_fit - r.genetic for r in rows) > 0
+    assert compare(items.limit(0), 1000).count() == 0
+
+
 def test_sizes(spark):
     got = {r.item: r["size"] for r in sized(spark.createDataFrame(list(enumerate(HARD)), "doc_id long, text string"), "doc_id", "text").collect()}
     assert got == {i: len(ids) for i, ids in enumerate(reference_encoder()(HARD))}
