@@ -35,7 +35,7 @@ from siltstone.storage import materialize
 MAX_KNOWN = 5000  # known licenses; the public lists have some hundreds
 SHINGLE, RARE = 4, 3
 COVERED = 0.85
-TERMS_WORDS = 40  # shorter texts are names or references, not terms
+TERMS_WORDS = 40  # a license file of fewer words may only refer to another place
 NOASSERTION = "NOASSERTION"
 
 # Further written forms of license names in common use.
@@ -124,10 +124,12 @@ class Known:
         self.index: dict[tuple, list[str]] = {}
         self.rare: dict[str, int] = {}
         for spdx, words in self.terms.items():
-            mine = {s for s in self._shingles(words) if count[s] <= RARE}
+            rare = max(RARE, min((count[s] for s in self._shingles(words)), default=0))  # of a family of like texts, the rarest there are
+            mine = {s for s in self._shingles(words) if count[s] <= rare}
             self.rare[spdx] = len(mine)
             for s in mine:
                 self.index.setdefault(s, []).append(spdx)
+        self.fewest = min((COVERED * len(words) for words in self.terms.values()), default=0)  # a shorter text covers no template
         self.by_terms = lru_cache(maxsize=8192)(self._by_terms)
 
     @staticmethod
@@ -135,10 +137,10 @@ class Known:
         return zip(*(words[i:] for i in range(SHINGLE)))
 
     def candidates(self, words: list[str]) -> list[str]:
-        """Templates of which a good part of the rare shingles is in the text, the best first."""
+        """All templates of which a good part of the rare shingles is in the text, the best first."""
         hits = Counter(spdx for s in set(self._shingles(words)) for spdx in self.index.get(s, ()))
         share = {spdx: n / self.rare[spdx] for spdx, n in hits.items()}
-        return sorted((s for s in share if share[s] >= 0.3), key=lambda s: (-share[s], s))[:4]
+        return sorted((s for s in share if share[s] >= 0.3), key=lambda s: (-share[s], s))
 
     def _by_terms(self, text: str, whole: bool) -> Statement | None:
         """The license whose terms a text gives; all of it if ``whole``, else somewhere in it."""
@@ -163,12 +165,12 @@ class Known:
         return best and best[1]
 
     def name(self, name: str) -> str | None:
-        return self.names.get(name_key(name)) if len(name) < 200 else None
+        return self.names.get(name_key(name))
 
     def expression(self, text: str) -> str | None:
         """The expression with each name in its SPDX form, order kept, brackets gone; None if a name isn't known."""
         text = re.sub(r"\s+", " ", text).strip(" \t.;,\"'`*_")
-        if not text or len(text) > 500:
+        if not text:
             return None
         if whole := self.name(text):
             return whole
@@ -302,7 +304,7 @@ def comments(path: str, content: str) -> list[list[str]]:
 
 def terms_in(known: Known, text: str, whole: bool = True) -> Statement | None:
     words = plain_words(_COPYRIGHT.sub(" ", text))
-    return known.by_terms(" ".join(words), whole) if len(words) >= TERMS_WORDS else None
+    return known.by_terms(" ".join(words), whole) if len(words) >= max(known.fewest, SHINGLE) else None
 
 
 def of_license_file(known: Known, content: str) -> Statement | None:
@@ -479,7 +481,7 @@ def file_licenses(files: DataFrame, known_texts: DataFrame) -> DataFrame:
         .withColumn("sets", F.transform("named", _licenses))
         .select("repo", "dir", "dir_spdx", "sets", F.struct("coverage", "altered").alias("detail"))
     )
-    readme = (
+    readme = materialize(
         says.where("kind = 'readme'")
         .groupBy("repo")
         .agg(F.collect_set("spdx").alias("named"), F.count_if(F.col("spdx").isNull()).alias("others"))
@@ -487,18 +489,20 @@ def file_licenses(files: DataFrame, known_texts: DataFrame) -> DataFrame:
             "repo",
             F.when((F.size("named") == 1) & (F.col("others") == 0), F.col("named")[0]).otherwise(NOASSERTION).alias("readme_spdx"),
             F.transform("named", _licenses).alias("readme_sets"),
-        )
-    )
+        ),
+        "readmes",
+    )  # written, so that a large repository's files can be split as a skewed join
     # the nearest directory with a statement, for each distinct directory of files
     own = found.where("kind = 'file'").withColumn("dir", directory(F.col("path")))
     parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
     depth = F.when(F.col("at_dir") == "", 0).otherwise(F.size(F.split("at_dir", "/")))
     places = own.select("repo", "dir").distinct().select("repo", F.col("dir").alias("from_dir"), F.explode(F.array_distinct(F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(above))).alias("at_dir"))
-    nearest = (
+    nearest = materialize(
         places.join(per_directory.withColumnRenamed("dir", "at_dir"), ["repo", "at_dir"])
         .groupBy("repo", F.col("from_dir").alias("dir"))
-        .agg(F.max_by(F.struct("dir_spdx", "sets", "detail"), depth).alias("near"))
+        .agg(F.max_by(F.struct("dir_spdx", "sets", "detail"), depth).alias("near")),
+        "nearest",
     )
     files_read = (
         own.join(nearest, ["repo", "dir"], "left").join(readme, "repo", "left")

@@ -295,3 +295,26 @@ def test_nothing_else_imports_this_subpackage():
     root = Path(sys.modules["siltstone"].__file__).parent
     for source in root.rglob("*.py"):
         assert "llm" in source.parts or "siltstone.llm" not in source.read_text()
+
+
+def family(n, common=60, own=4):
+    """n license texts of the same words but for a few of their own."""
+    shared = [f"word{i}" for i in range(common)]
+    return [(f"L-{k}", f"Family License {k}", [], " ".join([*shared[: common // 2], *(f"own{k}x{i}" for i in range(own)), *shared[common // 2 :]])) for k in range(n)]
+
+
+def test_large_families_of_terms():
+    """The right one of many like templates is found, also where no shingle is in few of them."""
+    rows = family(30) + [("Twin-A", "Twin A", [], "alpha beta gamma delta " * 4), ("Twin-B", "Twin B", [], "alpha beta gamma delta " * 4 + "epsilon")]
+    known = L.Known(rows)
+    for spdx, _, _, text in rows[:30:7] + rows[-1:]:
+        assert L.of_license_file(known, text).spdx == spdx
+    same = L.Known([(f"S-{k}", f"Same {k}", [], "one two three four five six seven eight nine ten") for k in range(9)])
+    assert L.of_license_file(same, "one two three four five six seven eight nine ten").spdx.startswith("S-")  # shorter than 40 words, no rare shingle
+
+
+def test_long_expressions():
+    known = L.Known([("MIT", "MIT License", [], ""), ("ISC", "ISC License", [], "")])
+    text = " OR ".join(["MIT", "ISC"] * 200)
+    assert known.expression(text) == text
+    assert known.expression("x" * 100_000) is None
