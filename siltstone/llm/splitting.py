@@ -191,22 +191,22 @@ def split(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts = batch.column(1).to_pylist()
             distinct, flat, lengths = T.numbered(texts)
             word_size, traits = T.word_sizes(path, distinct), Traits.of(distinct)
             until = np.cumsum(lengths)
             rows = []
-            for key, hi, n in zip(ids, until, lengths):
+            for row, (hi, n) in enumerate(zip(until, lengths)):
                 codes = flat[hi - n : hi]
                 sizes = word_size[codes]
                 if sizes.sum() > limit:
-                    rows += [(key, *p) for p in split_text([distinct[c] for c in codes], codes, traits, sizes, path, limit, overlap)]
+                    rows += [(row, *p) for p in split_text([distinct[c] for c in codes], codes, traits, sizes, path, limit, overlap)]
             columns = list(zip(*rows)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+            ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns[1:], kinds))], names)
 
     kinds = [pa.int32()] * 5 + [pa.string()] * 2
     simple = docs.schema[id_col].dataType.simpleString()
-    kinds = [{"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[simple], *kinds]
     # a token has at least one byte, so shorter texts needn't be looked at
     long_enough = docs.select(id_col, text_col).where(F.octet_length(text_col) > limit)
     return long_enough.mapInArrow(cut, f"`{id_col}` {simple}, {PIECE}")

@@ -318,3 +318,13 @@ def test_long_expressions():
     text = " OR ".join(["MIT", "ISC"] * 200)
     assert known.expression(text) == text
     assert known.expression("x" * 100_000) is None
+
+
+@pytest.mark.parametrize("kind", ["decimal(5,0)", "double", "date", "smallint", "struct<a:string>"])
+def test_split_keeps_any_id(spark, kind):
+    text = "word " * 1500
+    df = spark.createDataFrame([(1, text), (2, "short"), (3, text)], "n int, text string")
+    key = {"date": "date_add(date'2020-01-01', n)", "struct<a:string>": "named_struct('a', cast(n as string))"}.get(kind, f"cast(n as {kind})")
+    df = df.selectExpr(f"{key} as id", "text")
+    got = split(df, "id", "text", 100, 10)
+    assert got.schema["id"].dataType == df.schema["id"].dataType and len({str(r.id) for r in got.collect()}) == 2
