@@ -1,4 +1,9 @@
-"""Security scan of texts: indicators line by line, capabilities, risk and status."""
+"""Security scan of texts: indicators line by line, capabilities, risk and status.
+
+All that is found in a text is one array of its row: no line leaves the row, and
+a scan is one projection without a shuffle.  Plain searches for what a rule
+needs come first, so patterns run only over lines in which they can match.
+"""
 
 from __future__ import annotations
 
@@ -7,60 +12,98 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import rules as R
 
-HIT = "pattern_name string, pattern_type string, severity string, line int, matched string"
+FOUND = "array<struct<pattern_name:string,pattern_type:string,severity:string,line:int,matched:string>>"
 _LINE_RULES = [(n, "code", s, p) for n, s, p in R.IOC] + [(n, "instruction", s, p) for n, s, p in R.INSTRUCTIONS]
 SEVERITIES = ("critical", "high", "medium", "low")
+NO_TAKEDOWN = "named_struct('state', 'none', 'reason', cast(null as string), 'date', cast(null as string))"
 
 
-def _any(patterns: list[str]) -> str:
-    return "|".join(f"(?:{R.pattern(p)})" for p in patterns)
+def folded(text: Column) -> Column:
+    """In lower case, with the letters that patterns take for i, s and k."""
+    return F.lower(F.translate(text, "\u017f\u0131\u0130\u212a", "siik"))
 
 
-def ioc_matches(docs: DataFrame, record: str, content: str) -> DataFrame:
-    """(record, pattern_name, pattern_type, severity, line, matched) of every match.
+def may_match(low: Column, rule: str) -> Column:
+    """Whether a folded text has what a rule needs."""
+    out = F.lit(False)
+    for literals in R.NEEDS[rule]:
+        every = F.lit(True)
+        for literal in literals:
+            every = every & F.contains(low, F.lit(literal))
+        out = out | every
+    return out
 
-    Whole texts are tested first, in one pass of a combined pattern, so only
-    texts with a match are cut into lines.
-    """
-    combined = _any([p for *_, p in _LINE_RULES])
-    suspects = docs.where(F.col(content).rlike(combined)).select(record, F.posexplode(F.split(content, "\n")).alias("at", "text"))
-    rules = F.array(
-        *(
-            F.struct(F.lit(n).alias("pattern_name"), F.lit(k).alias("pattern_type"), F.lit(s).alias("severity"),
-                     F.regexp_extract_all("text", F.lit(R.pattern(p)), F.lit(0)).alias("hits"))
-            for n, k, s, p in _LINE_RULES
-        )
+
+def _none() -> Column:
+    return F.array().cast(FOUND)
+
+
+def _find(name: Column | str, kind: str, severity: str, line: Column, matched: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("pattern_name"), F.lit(kind).alias("pattern_type"), F.lit(severity).alias("severity"),
+        line.cast("int").alias("line"), matched.alias("matched"),
     )
-    lines = suspects.where(F.col("text").rlike(combined))
-    found = lines.select(record, (F.col("at") + 1).alias("line"), F.explode(F.filter(rules, lambda r: F.size(r.hits) > 0)).alias("r"))
-    return found.select(
-        record, "r.pattern_name", "r.pattern_type", "r.severity", "line", F.explode("r.hits").alias("matched")
-    ).withColumn("matched", F.left("matched", F.lit(100)))
 
 
-def tags_in_description(docs: DataFrame, record: str, description: str) -> DataFrame:
-    """(record, matched) of markup tags in descriptions, severity medium."""
+def _bound(value: Column, f) -> Column:
+    """f of a value that is computed once."""
+    return F.transform(F.array(value), f)[0]
+
+
+def indicators(content: Column) -> Column:
+    """FOUND of every match of a rule, by line and rule; matched text up to 100 characters."""
+
+    def of_rule(x: Column, rule: tuple[str, str, str, str]) -> Column:
+        name, kind, severity, pattern = rule
+        hits = F.regexp_extract_all(x.text, F.lit(R.pattern(pattern)), F.lit(0))
+        return F.when(may_match(x.low, name), F.transform(hits, lambda m: _find(name, kind, severity, x.at, F.left(m, F.lit(100))))).otherwise(_none())
+
+    of_line = lambda x: F.flatten(F.array(*(of_rule(x, rule) for rule in _LINE_RULES)))
+    suspicious = _bound(folded(content), lambda low: F.array_contains(F.array(*(may_match(low, n) for n, *_ in _LINE_RULES)), True))
+    lines = F.transform(F.split(content, "\n"), lambda t, i: F.struct(t.alias("text"), folded(t).alias("low"), (i + 1).alias("at")))
+    return F.when(F.coalesce(suspicious, F.lit(False)), F.flatten(F.transform(lines, of_line))).otherwise(_none())
+
+
+def tags(description: Column) -> Column:
+    """FOUND of markup tags in a description; matched text up to 50 characters."""
     hits = F.regexp_extract_all(description, F.lit(R.TAG_IN_DESCRIPTION), F.lit(0))
-    return docs.select(record, F.explode(hits).alias("matched")).withColumn("matched", F.left("matched", F.lit(50)))
+    return F.coalesce(F.transform(hits, lambda m: _find("xml_in_description", "description", "medium", F.lit(None), F.left(m, F.lit(50)))), _none())
+
+
+def invisible(content: Column) -> Column:
+    """FOUND of format and control characters but tab, CR and LF, as U+ and their code point."""
+    lines = F.transform(F.split(content, "\n"), lambda t, i: F.struct(t.alias("text"), (i + 1).alias("at")))
+    of_line = lambda x: F.transform(
+        F.regexp_extract_all(x.text, F.lit(R.INVISIBLE), F.lit(0)),
+        lambda c: _find("invisible_unicode", "code", "medium", x.at, F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(c)), 4, "0"))),
+    )
+    return F.when(F.coalesce(content.rlike(R.INVISIBLE), F.lit(False)), F.flatten(F.transform(lines, of_line))).otherwise(_none())
+
+
+def ioc_matches(docs: DataFrame, record: str, content: str) -> DataFrame:
+    """(record, pattern_name, pattern_type, severity, line, matched) of every match."""
+    return docs.select(record, F.inline(indicators(F.col(content))))
 
 
 def invisible_characters(docs: DataFrame, record: str, content: str) -> DataFrame:
     """(record, line, code_point) of format and control characters but tab, CR and LF."""
-    lines = docs.where(F.col(content).rlike(R.INVISIBLE)).select(record, F.posexplode(F.split(content, "\n")).alias("at", "text"))
-    hits = F.regexp_extract_all("text", F.lit(R.INVISIBLE), F.lit(0))
-    found = lines.select(record, (F.col("at") + 1).alias("line"), F.explode(hits).alias("c"))
-    return found.select(record, "line", F.ascii("c").alias("code_point"))
+    found = docs.select(record, F.inline(invisible(F.col(content))))
+    return found.select(record, "line", F.conv(F.substring("matched", 3, 8), 16, 10).cast("int").alias("code_point"))
 
 
 def capabilities(content: Column, has_scripts: Column | None = None) -> Column:
     """Sorted capabilities that a text shows."""
-    shown = []
-    for name, p in R.CAPABILITIES:
-        hit = content.rlike(R.pattern(p))
-        if name == "shell" and has_scripts is not None:
-            hit = hit | F.coalesce(has_scripts, F.lit(False))
-        shown.append(F.when(hit, name))
-    return F.array_compact(F.array(*shown))
+
+    def shown(low: Column) -> Column:
+        out = []
+        for name, p in R.CAPABILITIES:
+            hit = may_match(low, name) & content.rlike(R.pattern(p))
+            if name == "shell" and has_scripts is not None:
+                hit = hit | F.coalesce(has_scripts, F.lit(False))
+            out.append(F.when(hit, name))
+        return F.array_sort(F.array_compact(F.array(*out)))
+
+    return _bound(folded(content), shown)
 
 
 def severity_counts(matches: DataFrame, record: str) -> DataFrame:
@@ -91,17 +134,45 @@ def status(caps: Column, critical: Column, matches: Column, layer: Column, verdi
     )
 
 
-def scan(docs: DataFrame, record: str, content: str, description: str, has_scripts: str, layer: str) -> DataFrame:
-    """One row per record: counts by severity, capabilities, risk level, status."""
-    hits = ioc_matches(docs, record, content).select(record, "severity")
-    tags = tags_in_description(docs, record, description).select(record, F.lit("medium").alias("severity"))
-    hidden = invisible_characters(docs, record, content).select(record, F.lit("medium").alias("severity"))
-    counts = severity_counts(hits.unionByName(tags).unionByName(hidden), record)
-    base = docs.select(record, layer, capabilities(F.col(content), F.col(has_scripts)).alias("capabilities"))
-    joined = base.join(counts, record, "left").na.fill(0, list(SEVERITIES)).na.fill("none", ["max_severity"])
+def scan(docs: DataFrame, record: str, content: str, description: str, has_scripts: str, layer: str, verdict: str | None = None) -> DataFrame:
+    """One row per record: capabilities, counts by severity, the highest, risk level, status, and what was found.
+
+    ``verdict``: the column of the upstream registry's verdict; "malicious" there
+    makes the record malicious whatever its text has.
+    """
+    found = docs.select(
+        record, F.col(layer).alias("_layer"), (F.col(verdict) if verdict else F.lit(None).cast("string")).alias("_verdict"),
+        capabilities(F.col(content), F.col(has_scripts)).alias("capabilities"),
+        F.concat(indicators(F.col(content)), tags(F.col(description)), invisible(F.col(content))).alias("found"),
+    )
+    of = lambda s: F.size(F.filter("found", lambda x: x.severity == s)).cast("long").alias(s)
+    counted = found.select("*", *(of(s) for s in SEVERITIES))
+    highest = F.lit("none")
+    for s in reversed(SEVERITIES):
+        highest = F.when(F.col(s) > 0, s).otherwise(highest)
     matches = sum((F.col(s) for s in SEVERITIES), F.lit(0))
-    return joined.select(
-        record, "capabilities", *SEVERITIES, "max_severity",
-        risk_level(F.col("capabilities"), F.col("critical"), matches).alias("risk_level"),
-        status(F.col("capabilities"), F.col("critical"), matches, F.col(layer)).alias("status"),
+    caps = F.coalesce("capabilities", F.array().cast("array<string>"))
+    return counted.select(
+        record, caps.alias("capabilities"), *SEVERITIES, highest.alias("max_severity"),
+        risk_level(caps, F.col("critical"), matches).alias("risk_level"),
+        status(caps, F.col("critical"), matches, F.col("_layer"), F.col("_verdict")).alias("status"), "found",
+    )
+
+
+def security_field(ran_at: str, commit: Column) -> Column:
+    """The security struct of a record from the columns of ``scan``; external references and verdicts are filled in later."""
+    patterns = F.transform(
+        "found",
+        lambda x: F.struct(
+            x.pattern_name.alias("name"), x.pattern_type.alias("type"), x.line.alias("line"), x.matched.alias("text"), x.severity.alias("severity")
+        ),
+    )
+    engine = F.struct(
+        F.lit("ioc_scanner").alias("engine"), F.lit("1.0.0").alias("version"), F.lit("default").alias("policy"), commit.alias("commit"),
+        F.lit(ran_at).alias("ran_at"), F.struct(*SEVERITIES).alias("counts"), patterns.alias("ioc_patterns"),
+    )
+    return F.struct(
+        "status", "risk_level", "capabilities", "max_severity", F.array(engine).alias("scans"),
+        F.array().cast("array<struct<reference:string,exists:boolean,critical:boolean>>").alias("external_refs"),
+        F.expr("cast(map() as map<string,string>)").alias("upstream_verdicts"), F.expr(NO_TAKEDOWN).alias("takedown"),
     )

@@ -15,6 +15,7 @@ from siltstone.functions import rules as R
 from siltstone.functions import text as T
 from siltstone.operators import changes, crawl, dedup, frontmatter, gates, keywords, licenses, neardup, quality, refs, search, security, stats
 from siltstone.plans import catalog
+from siltstone.plans.samples import SAMPLES
 from siltstone.sources import io
 from siltstone.storage import spread
 from siltstone.streaming.changes import event_windows
@@ -360,16 +361,27 @@ def smell_histogram(spark, d):
 _RULES = " UNION ALL ".join(
     f"SELECT {_quote(n)} AS pattern_name, '{k}' AS pattern_type, '{s}' AS severity, {_quote(p)} AS pattern" for k, rules in (("code", R.IOC), ("instruction", R.INSTRUCTIONS)) for n, s, p in rules
 )
-_LINES = "(SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))"
+# documents, and samples (with negative ids) in which the rules occur, since the documents hold none
+_SCANNED = (
+    "(SELECT doc_id, text, 'source' AS layer, NULL::VARCHAR AS verdict FROM documents UNION ALL SELECT * FROM (VALUES "
+    + ", ".join(f"(-{n}, {_quote(text)}, {_quote(layer)}, {_quote(verdict) if verdict else 'NULL'})" for n, (layer, verdict, text) in enumerate(SAMPLES, 1)) + "))"
+)
+_LINES = f"(SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM {_SCANNED} WHERE text IS NOT NULL))"
 _IOC = " UNION ALL ".join(
     f"SELECT doc_id, {_quote(n)} AS pattern_name, '{k}' AS pattern_type, '{s}' AS severity, line::INTEGER AS line, left(unnest(regexp_extract_all(t, {_quote(p)})), 100) AS matched FROM {_LINES}"
     for k, rules in (("code", R.IOC), ("instruction", R.INSTRUCTIONS)) for n, s, p in rules
 )
 
 
+def _scanned(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit("source").alias("layer"), F.lit(None).cast("string").alias("verdict"))
+    samples = [(-n, text, layer, verdict) for n, (layer, verdict, text) in enumerate(SAMPLES, 1)]
+    return docs.unionByName(spark.createDataFrame(samples, "doc_id long, text string, layer string, verdict string"))
+
+
 @query(_IOC)
 def ioc_matches(spark, d):
-    return security.ioc_matches(table(spark, d, "documents"), "doc_id", "text")
+    return security.ioc_matches(_scanned(spark, d), "doc_id", "text")
 
 
 @query(
@@ -384,29 +396,54 @@ def ioc_severity_counts(spark, d):
     rf"""SELECT doc_id, line::INTEGER AS line, unicode(c)::INTEGER AS code_point FROM (SELECT doc_id, line, unnest(regexp_extract_all(t, '{R.INVISIBLE}')) AS c FROM {_LINES})"""
 )
 def invisible_unicode(spark, d):
-    return security.invisible_characters(table(spark, d, "documents"), "doc_id", "text")
+    return security.invisible_characters(_scanned(spark, d), "doc_id", "text")
 
 
-_CAPS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(text, {_quote(p)}) THEN '{n}' END" for n, p in R.CAPABILITIES) + "], lambda x: x IS NOT NULL)"
+_CAPS = "list_sort(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(text, {_quote(p)}) THEN '{n}' END" for n, p in R.CAPABILITIES) + "], lambda x: x IS NOT NULL))"
 
 
-@query(f"SELECT doc_id, array_to_string({_CAPS}, ',') AS capabilities FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, array_to_string({_CAPS}, ',') AS capabilities FROM {_SCANNED} WHERE text IS NOT NULL")
 def capabilities(spark, d):
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = _scanned(spark, d).where("text is not null")
     return docs.select("doc_id", F.array_join(security.capabilities(F.col("text")), ",").alias("capabilities"))
 
 
+_FIRST_LINE = "CASE WHEN strpos(text, chr(10)) > 0 THEN left(text, strpos(text, chr(10)) - 1) ELSE text END"
+_HITS = rf"""(SELECT doc_id, pattern_name, severity FROM ({_IOC}) UNION ALL SELECT doc_id, 'xml_in_description', 'medium' FROM (SELECT doc_id, unnest(regexp_extract_all({_FIRST_LINE}, '{R.TAG_IN_DESCRIPTION}')) FROM {_SCANNED})
+    UNION ALL SELECT doc_id, 'invisible_unicode', 'medium' FROM (SELECT doc_id, unnest(regexp_extract_all(t, '{R.INVISIBLE}')) AS c FROM {_LINES}))"""
+_RISK = f"""(WITH n AS (SELECT doc_id, count(*) AS m, count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'medium') AS medium,
+    count(*) FILTER (severity = 'low') AS low FROM {_HITS} GROUP BY 1),
+    b AS (SELECT doc_id, layer, verdict, coalesce({_CAPS}, []) AS caps, coalesce(m, 0) AS m, coalesce(critical, 0) AS critical, coalesce(high, 0) AS high, coalesce(medium, 0) AS medium, coalesce(low, 0) AS low
+    FROM {_SCANNED} LEFT JOIN n USING (doc_id))
+    SELECT *, CASE WHEN critical > 0 THEN 'critical' WHEN high > 0 THEN 'high' WHEN medium > 0 THEN 'medium' WHEN low > 0 THEN 'low' ELSE 'none' END AS max_severity,
+    CASE WHEN critical > 0 OR list_contains(caps, 'money') OR list_contains(caps, 'external-instructions') THEN 'high' WHEN m > 0 OR len(caps) > 0 THEN 'medium' ELSE 'low' END AS risk_level,
+    CASE WHEN critical > 0 OR coalesce(lower(verdict), '') = 'malicious' THEN 'malicious' WHEN layer = 'curated' AND m > 0 THEN 'review' WHEN layer = 'curated' THEN 'pass' WHEN m > 0 OR len(caps) > 0 THEN 'warn' ELSE 'pass' END AS status FROM b)"""
+
+
+def _risk(spark, d):
+    docs = _scanned(spark, d).withColumns({"scripts": F.lit(False), "first_line": F.substring_index("text", "\n", 1)})
+    return security.scan(docs, "doc_id", "text", "first_line", "scripts", "layer", "verdict")
+
+
+@query(f"SELECT doc_id, risk_level, status FROM {_RISK}")
+def risk_status(spark, d):
+    """Of each text, its first line taken as its description: risk and status, by what is found and by the upstream verdict."""
+    return _risk(spark, d).select("doc_id", "risk_level", "status")
+
+
 @query(
-    rf"""WITH hits AS (SELECT doc_id, severity FROM ({_IOC}) UNION ALL SELECT doc_id, 'medium' FROM (SELECT doc_id, unnest(regexp_extract_all(kind, '{R.TAG_IN_DESCRIPTION}')) FROM documents)
-    UNION ALL SELECT doc_id, 'medium' FROM (SELECT doc_id, unnest(regexp_extract_all(t, '{R.INVISIBLE}')) AS c FROM {_LINES})),
-    n AS (SELECT doc_id, count(*) AS m, count(*) FILTER (severity = 'critical') AS critical FROM hits GROUP BY 1),
-    b AS (SELECT doc_id, coalesce({_CAPS}, []) AS caps, coalesce(m, 0) AS m, coalesce(critical, 0) AS critical FROM documents LEFT JOIN n USING (doc_id))
-    SELECT doc_id, CASE WHEN critical > 0 OR list_contains(caps, 'money') OR list_contains(caps, 'external-instructions') THEN 'high' WHEN m > 0 OR len(caps) > 0 THEN 'medium' ELSE 'low' END AS risk_level,
-    CASE WHEN critical > 0 THEN 'malicious' WHEN m > 0 OR len(caps) > 0 THEN 'warn' ELSE 'pass' END AS status FROM b"""
+    f"""SELECT doc_id, status, risk_level, array_to_string(caps, ',') AS capabilities, max_severity, 'ioc_scanner' AS engine, critical, high, medium, low, coalesce(p, '') AS patterns, 'none' AS takedown
+    FROM {_RISK} LEFT JOIN (SELECT doc_id, string_agg(pattern_name, ',' ORDER BY pattern_name) AS p FROM {_HITS} GROUP BY 1) USING (doc_id)"""
 )
-def risk_status(spark, d):
-    docs = table(spark, d, "documents").withColumns({"scripts": F.lit(False), "layer": F.lit("source")})
-    return security.scan(docs, "doc_id", "text", "kind", "scripts", "layer").select("doc_id", "risk_level", "status")
+def security_field(spark, d):
+    """The security struct of a record, with the scan's counts and patterns, flat."""
+    made = _risk(spark, d).select("doc_id", security.security_field("2026-01-01T00:00:00+00:00", F.lit("0" * 40)).alias("s"))
+    one = F.col("s.scans")[0]
+    return made.select(
+        "doc_id", "s.status", "s.risk_level", F.array_join("s.capabilities", ",").alias("capabilities"), "s.max_severity", one.engine.alias("engine"),
+        *(one.counts[c].alias(c) for c in security.SEVERITIES), F.array_join(F.array_sort(F.transform(one.ioc_patterns, lambda x: x["name"])), ",").alias("patterns"),
+        F.col("s.takedown.state").alias("takedown"),
+    )
 
 
 # ---------------------------------------------------------------- references and wording
@@ -476,7 +513,7 @@ _WORDING = " UNION ALL ".join(
 
 @query(_WORDING)
 def wording_lint(spark, d):
-    return refs.wording(table(spark, d, "documents"), "doc_id", "text")
+    return refs.wording(_scanned(spark, d), "doc_id", "text")
 
 
 # ---------------------------------------------------------------- gates and constraints
@@ -533,14 +570,11 @@ def gate_regressions(spark, d):
 
 
 @query(
-    f"""WITH n AS (SELECT doc_id, count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'high') AS high FROM ({_IOC}) GROUP BY doc_id)
-    SELECT doc_id, CASE WHEN critical > 0 THEN 'Security status is malicious' ELSE array_to_string(list_filter([CASE WHEN high > 0 THEN 'Unresolved HIGH findings' END], lambda x: x IS NOT NULL), '; ') END AS reasons
-    FROM (SELECT doc_id, coalesce(critical, 0) AS critical, coalesce(high, 0) AS high FROM documents LEFT JOIN n USING (doc_id))"""
+    f"""SELECT doc_id, CASE WHEN status IN ('malicious', 'error') THEN 'Security status is ' || status ELSE array_to_string(list_filter([CASE WHEN critical > 0 THEN 'Unresolved CRITICAL findings' END,
+    CASE WHEN high > 0 THEN 'Unresolved HIGH findings' END], lambda x: x IS NOT NULL), '; ') END AS reasons FROM {_RISK}"""
 )
 def gate_security(spark, d):
-    docs = table(spark, d, "documents").withColumns({"scripts": F.lit(False), "layer": F.lit("source")})
-    scanned = security.scan(docs, "doc_id", "text", "kind", "scripts", "layer")
-    return scanned.select("doc_id", F.array_join(gates.security_reasons(), "; ").alias("reasons"))
+    return _risk(spark, d).select("doc_id", F.array_join(gates.security_reasons(), "; ").alias("reasons"))
 
 
 def _rules_sql(rules: tuple[gates.Rule, ...], table_: str, numeric: tuple[str, ...] = ()) -> str:
