@@ -146,6 +146,27 @@ def latest_state(state: DataFrame) -> DataFrame:
     )
 
 
+def upsert_state(state: DataFrame, attempts: DataFrame, force: bool = False) -> DataFrame:
+    """The crawl state after one attempt per source; (source_id, head_sha, crawled_at, skills_found, last_error, outcome).
+
+    A head that was crawled before is skipped (unless forced) and its row stays;
+    a failed attempt (no head_sha) leaves the previous crawl and adds its error;
+    a success replaces the row and clears the error.  Sources without an attempt
+    stay.  The same attempts give the same state again.
+    """
+    columns = ("head_sha", "crawled_at", "skills_found", "last_error")
+    old = state.select("source_id", *(F.col(c).alias(f"_{c}") for c in columns), F.lit(True).alias("_known"))
+    new = attempts.select("source_id", *columns, F.lit(True).alias("_tried"))
+    both = old.join(new, "source_id", "full_outer")
+    failed = F.col("head_sha").isNull()
+    same = F.lit(not force) & F.col("head_sha").eqNullSafe(F.col("_head_sha"))
+    outcome = F.when(F.col("_tried").isNull(), "untried").when(failed, "failed").when(same, "skipped").otherwise("crawled")
+    keep = outcome != "crawled"
+    value = lambda c: F.when(keep, F.col(f"_{c}")).otherwise(F.col(c))
+    error = F.when(outcome == "failed", F.coalesce("last_error", F.lit("Failed to get HEAD SHA"))).when(keep, F.col("_last_error"))
+    return both.select("source_id", *(value(c).alias(c) for c in columns[:3]), error.alias("last_error"), outcome.alias("outcome"))
+
+
 def rollup(state: DataFrame) -> DataFrame:
     """One row over crawl attempts: sources, skills found, failed attempts, attempts without news."""
     before = F.lag("head_sha").over(Window.partitionBy("source_id").orderBy("crawled_at", "head_sha"))

@@ -29,27 +29,76 @@ def source_reasons() -> Column:
     )
 
 
+CURATED_FILES = ("LICENSE", "NOTICE", "ATTRIBUTION.md")
+
+
+def with_curated_files(records: DataFrame, files: DataFrame) -> DataFrame:
+    """``records`` with curated_files: which of CURATED_FILES lie in their curated_path, by a listing (path)."""
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    found = files.where(name.isin(*CURATED_FILES)).select(F.regexp_replace("path", "/?[^/]*$", "").alias("_dir"), name.alias("_name"))
+    by_dir = found.groupBy("_dir").agg(F.collect_set("_name").alias("curated_files"))  # three names at most
+    return records.join(by_dir, records["curated_path"] == by_dir["_dir"], "left").drop("_dir")
+
+
 def curated_reasons() -> Column:
-    """Why a record fails the curated checks that its row can tell."""
-    kind = F.coalesce(F.col("license.class"), F.lit("None"))
+    """Why a record fails the curated checks.
+
+    Reads conformance (strict, errors), license.class, curated_path and
+    curated_files, trust_tier, security (status, scans, external_refs), status,
+    quality.smells and layer.  What is missing counts as not shown: not strict,
+    no file, no scanner; lists that are null are empty.
+    """
+    none = F.array().cast("array<string>")
+    errors, smells = F.coalesce("conformance.errors", none), F.coalesce("quality.smells", none)
+    files, kind = F.coalesce("curated_files", none), F.coalesce(F.col("license.class"), F.lit("None"))
+    mirrored = F.coalesce(F.col("curated_path"), F.lit("")) != ""
+    has = lambda *names: F.arrays_overlap(files, F.array(*map(F.lit, names)))
+    broken = F.transform(F.filter(errors, lambda e: e != "filename-lowercase"), lambda e: F.concat(F.lit("Conformance error: "), e))
+    not_strict = F.concat(F.array(F.lit("Frontmatter does not pass strict conformance")), broken)
+    scans = F.coalesce("security.scans", F.array())
+    grave = F.transform(
+        F.filter(F.flatten(F.transform(scans, lambda x: F.coalesce(x.ioc_patterns, F.slice(x.ioc_patterns, 1, 0)))), lambda i: F.lower(i.severity).isin("high", "critical")),
+        lambda i: F.concat(F.lit("Unresolved "), F.upper(i.severity), F.lit(" security finding: "), F.coalesce(i["name"], F.lit("unknown"))),
+    )
+    dangling = F.transform(
+        F.filter(F.coalesce("security.external_refs", F.array()), lambda r: ~F.coalesce(r.exists, F.lit(False)) & F.coalesce(r.critical, F.lit(False))),
+        lambda r: F.concat(F.lit("Critical external reference is dangling: "), F.coalesce(r.reference, F.lit("unknown"))),
+    )
+    blocking = F.transform(F.filter(smells, lambda x: x.isin(*R.BLOCKING_SMELLS)), lambda x: F.concat(F.lit("Blocking quality smell: "), x))
     return F.concat(
-        F.when(kind.isin("allow", "conditional"), F.array().cast("array<string>")).otherwise(
-            F.array(F.concat(F.lit("License class must be 'allow' or 'conditional', got '"), kind, F.lit("'")))
-        ),
+        _reasons((F.array_contains(errors, "filename-lowercase"), "SKILL.md filename must be exact case (not skill.md)")),
+        F.when(F.coalesce("conformance.strict", F.lit(False)), none).otherwise(not_strict),
+        F.when(kind.isin("allow", "conditional"), none).otherwise(F.array(F.concat(F.lit("License class must be 'allow' or 'conditional', got '"), kind, F.lit("'")))),
         _reasons(
+            ((kind == "conditional") & mirrored & ~has("NOTICE", "ATTRIBUTION.md"), "Conditional license requires NOTICE or ATTRIBUTION file"),
+            (mirrored & ~has("LICENSE"), "Missing LICENSE file in curated directory"),
+            (~mirrored, "Missing curated_path (skill not mirrored to curated/)"),
             (F.col("trust_tier") == "aggregator-copy", "Aggregator copies cannot be curated (must be from canonical source)"),
             (F.col("security.status") == "malicious", "Security status is 'malicious'"),
             (F.col("security.status") == "error", "Security scan failed with errors"),
+        ),
+        F.coalesce(grave, none),
+        _reasons(
+            (~F.coalesce(F.exists(scans, lambda x: x.engine == "ioc_scanner"), F.lit(False)), "Missing IOC scanner (required)"),
             (F.col("status") == "dangling", "Skill status is 'dangling' (owner or source no longer exists)"),
-            (F.length("description") > R.MAX_DESCRIPTION, "Blocking quality smell: description-too-long"),
-            (F.length("description").between(1, R.MIN_DESCRIPTION - 1), "Blocking quality smell: description-too-short"),
-            (F.col("description").rlike(R.pattern(R.TAG)), "Blocking quality smell: description-has-xml-tags"),
-            (F.lower("name").isin(*R.RESERVED_NAMES), "Blocking quality smell: reserved-word-name"),
-            (F.coalesce(F.col("layer"), F.lit("")) != "curated", "Skill layer is not 'curated' (no human approval)"),
         ),
+        F.coalesce(dangling, none), blocking,
+        _reasons((F.coalesce(F.col("layer"), F.lit("")) != "curated", "Skill layer is not 'curated' (no human approval)")),
     )
 
 
+def regressions(records: DataFrame) -> DataFrame:
+    """The curated records, neither removed nor quarantined, that would no longer pass: (skill_id, gate, passes, reasons)."""
+    kept = records.where((F.col("layer") == "curated") & ~F.coalesce("status", F.lit("")).isin("removed", "quarantined"))
+    return gate(kept, curated_reasons(), "curated").where("not passes")
+
+
+def marked_for_review(records: DataFrame) -> DataFrame:
+    """``records`` with the status review where a curated record would no longer pass."""
+    watched = (F.col("layer") == "curated") & ~F.coalesce("status", F.lit("")).isin("removed", "quarantined")
+    return records.withColumn("status", F.when(F.coalesce(watched, F.lit(False)) & (F.size(curated_reasons()) > 0), "review").otherwise(F.col("status")))
+
+
 def security_reasons(status: str = "status", critical: str = "critical", high: str = "high") -> Column:
     """Why a scanned record (status and counts by severity) fails the security checks; a bad status alone says it all."""
     bad = F.col(status).isin("malicious", "error")
@@ -102,7 +151,7 @@ SOURCE_RULES = (
 def violations(records: DataFrame, record: str, rules: tuple[Rule, ...]) -> DataFrame:
     """(record, path, problem) of each constraint that a row breaks."""
     kinds = dict(_leaf_types(records))
-    checks = []
+    checks = []  # of each constraint, a struct where it is broken
     for r in rules:
         c, text = F.col(r.path), kinds.get(r.path) == "string"
         broken = [(c.isNull(), "required")] if r.required else []

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,39 +65,85 @@ def head_or_titles(content: Column, license_class: Column) -> Column:
     return F.when(license_class.isin("allow", "conditional"), F.array_join(F.slice(w, 1, 400), " ")).otherwise(F.array_join(F.slice(titles, 1, 20), "\n"))
 
 
-def greedy_shards(records: DataFrame, group: str, order: str, size: str, capacity: int = R.SHARD_BYTES) -> DataFrame:
-    """``records`` with the number of their shard: in order, a shard is full when the next record would exceed it.
+def _next_starts(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums before each record and after all, start of the next shard for a shard that starts at each record)."""
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    return before, np.maximum(np.searchsorted(before, before[:-1] + capacity, side="right") - 1, np.arange(len(sizes)) + 1)
 
-    The fold depends on all before it, so it is done on the sizes alone, in two
-    steps.  Runs of records are cut at total sizes of many shards by a
-    distributed running sum; each run is folded in one task, whose work is
-    bounded by the run, and shards are numbered through by run.
+
+def greedy_shards(records: DataFrame, group: str, order: str, size: str, capacity: int = R.SHARD_BYTES, run: int = 256) -> DataFrame:
+    """``records`` (group, order, size) with the number of their shard: in order, a shard is full when the next record would exceed it.
+
+    The fold depends on all before it, yet is made in parallel, on the sizes
+    alone.  Records are cut into runs of many shards by a distributed running
+    sum.  What a run does depends only on the load that is open where it begins,
+    and that only on where its first own shard begins: of each of these places
+    (the records of one capacity) a task finds the load left open at the run's
+    end and the number of shards.  The driver chains these through the runs, one
+    row a run, and each run is then numbered from its true beginning.
     """
-    run_bytes = capacity * 256
-    part = Window.partitionBy(group, "_slice").orderBy(order)
     # a distributed running sum: ranges of the order, their sums, then sums inside each
     sliced = records.select(group, order, size).repartitionByRange(F.col(group), F.col(order)).withColumn("_slice", F.spark_partition_id())
     sliced = materialize(sliced, "slices")
     sums = sliced.groupBy(group, "_slice").agg(F.sum(size).alias("_sum"))
-    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
     placed = sliced.join(before.select(group, "_slice", "_before"), [group, "_slice"])
-    placed = placed.withColumn("_until", F.col("_before") + F.coalesce(F.sum(size).over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    runs = placed.withColumn("_run", F.floor(F.col("_until") / run_bytes))
+    part = Window.partitionBy(group, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("_until", F.col("_before") + F.coalesce(F.sum(size).over(part), F.lit(0)))
+    runs = materialize(placed.select(group, order, size, F.floor(F.col("_until") / (capacity * run)).alias("_run")), "runs")
+    kinds = {f.name: f.dataType.simpleString() for f in runs.schema}
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    def outcomes(pdf: pd.DataFrame) -> pd.DataFrame:
+        sums, following = _next_starts(pdf.sort_values(order)[size].to_numpy(), capacity)
+        n = len(following)
+        load, used = np.empty(n, dtype=np.int64), np.ones(n, dtype=np.int64)
+        for i in range(n - 1, -1, -1):
+            j = following[i]
+            if j < n:
+                load[i], used[i] = load[j], used[j] + 1
+            else:
+                load[i] = sums[n] - sums[i]
+        most = min(int(np.searchsorted(sums, capacity, side="right")), n)
+        return pd.DataFrame({group: pdf[group].iloc[:1], "_run": pdf["_run"].iloc[:1], "sums": [sums[: most + 1].tolist()], "total": [int(sums[n])], "load": [load[:most].tolist()], "used": [used[:most].tolist()]})
+
+    seen = runs.groupBy(group, "_run").applyInPandas(outcomes, f"`{group}` {kinds[group]}, _run long, sums array<long>, total long, load array<long>, used array<long>")
+    entries: list[tuple] = []
+    at = (None, 0, -1)  # group, open load, number of the open shard
+    for r in seen.orderBy(group, "_run").toLocalIterator():
+        if not entries or r[group] != at[0]:
+            at = (r[group], 0, -1)
+        _, load, number = at
+        entries.append((r[group], r["_run"], load, number))
+        first = 0 if number < 0 else bisect_right(r["sums"], capacity - load) - 1
+        first = max(first, 0)
+        at = (r[group], load + r["total"], number) if first >= len(r["load"]) else (r[group], r["load"][first], number + r["used"][first])
+    begin = records.sparkSession.createDataFrame(entries, f"`{group}` {kinds[group]}, _run long, _load long, _number long")
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, ignore_index=True)
-        number, load, out = 0, 0, []
-        for n in pdf[size]:
-            if load and load + n > capacity:
-                number, load = number + 1, 0
-            load += n
-            out.append(number)
-        return pd.DataFrame({group: pdf[group], order: pdf[order], "_run": pdf["_run"], "_at": out})
+        sums, following = _next_starts(pdf[size].to_numpy(), capacity)
+        load, at = int(pdf["_load"].iloc[0]), int(pdf["_number"].iloc[0])
+        i = 0 if at < 0 else max(int(np.searchsorted(sums, capacity - load, side="right")) - 1, 0)
+        shard = np.full(len(pdf), at, dtype=np.int64)
+        while i < len(pdf):
+            at += 1
+            shard[i : following[i]] = at
+            i = following[i]
+        return pd.DataFrame({group: pdf[group], order: pdf[order], "shard": shard})
 
-    kinds = {f.name: f.dataType.simpleString() for f in runs.schema}
-    folded = runs.select(group, order, size, "_run").groupBy(group, "_run").applyInPandas(fold, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, _run long, _at long")
-    folded = materialize(folded, "folded")
-    used = folded.groupBy(group, "_run").agg((F.max("_at") + 1).alias("_used"))
-    offset = used.withColumn("_offset", F.coalesce(F.sum("_used").over(Window.partitionBy(group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = folded.join(offset.select(group, "_run", "_offset"), [group, "_run"])
-    return numbered.select(group, order, (F.col("_offset") + F.col("_at")).alias("shard"))
+    same = [runs[group].eqNullSafe(begin[group]), runs["_run"] == begin["_run"]]
+    started = runs.join(begin, same).select(runs[group], runs[order], runs[size], runs["_run"], "_load", "_number")
+    return started.groupBy(group, "_run").applyInPandas(number, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, shard long")
+
+
+def shard_names(records: DataFrame, capacity: int = R.SHARD_BYTES) -> DataFrame:
+    """(id, shard): curated and official records whole in one shard each, the others in community-00 and so on, by id.
+
+    ``records``: (id, layer, tier, bytes).
+    """
+    curated = F.coalesce(F.col("layer") == "curated", F.lit(False))
+    placed = records.select("id", "bytes", F.when(curated, "curated").when(F.col("tier") == "official", "official").otherwise("community").alias("part"))
+    whole = placed.where("part <> 'community'").select("id", F.col("part").alias("shard"))
+    split = greedy_shards(placed.where("part = 'community'"), "part", "id", "bytes", capacity)
+    return whole.unionByName(split.select("id", F.format_string("community-%02d", "shard").alias("shard")))

@@ -68,6 +68,16 @@ def candidates(links: DataFrame, aggregator: str, excluded: DataFrame) -> DataFr
     )
 
 
+def union_of_candidates(*lists: DataFrame) -> DataFrame:
+    """Candidates (repo_url, evidence, path_hints) of several aggregators, one row per address, the first list's before the next."""
+    every = None
+    for n, found in enumerate(lists):
+        numbered = found.withColumn("_list", F.lit(n))
+        every = numbered if every is None else every.unionByName(numbered)
+    first = F.min_by(F.struct("repo_url", "evidence", "path_hints"), F.struct("_list", "repo_url"))
+    return every.groupBy(F.lower("repo_url").alias("_k")).agg(first.alias("c")).select("c.*")
+
+
 def reference_report(docs: DataFrame, record: str, text: str, known: DataFrame, host: str) -> DataFrame:
     """(record, refs, dangling, has_dangling): references met with a table known (type, reference, exists).
 
@@ -87,6 +97,17 @@ def reference_report(docs: DataFrame, record: str, text: str, known: DataFrame,
     ).withColumn("has_dangling", F.col("dangling") > 0)
 
 
+def owner(url: Column, host: str) -> Column:
+    """The owner in a repository's address on the host, in lower case; null if it isn't one."""
+    return F.nullif(F.lower(F.regexp_extract(url, rf"(?i)^https?://(?:www\.)?{host}/([^/?#]+)", 1)), F.lit(""))
+
+
+def without_owner(sources: DataFrame, owners: DataFrame, host: str) -> DataFrame:
+    """(source_id) of the sources whose owner is in no row of the existing ``owners`` (owner); addresses elsewhere are not judged."""
+    of_source = sources.select(F.col("id").alias("source_id"), owner(F.col("url"), host).alias("owner")).where("owner is not null")
+    return of_source.join(owners.select(F.lower("owner").alias("owner")).distinct(), "owner", "left_anti").select("source_id").distinct()
+
+
 def wording(docs: DataFrame, record: str, text: str) -> DataFrame:
     """(record, line, description, line_text) of each line with avoided wording; lines that state a goal are exempt."""
     combined = "|".join(f"(?:{R.pattern(p)})" for _, p in R.WORDING)

@@ -6,6 +6,7 @@ groups, edit similarity) there is no SQL, and tests compare with brute force.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from siltstone.functions import rules as R
 from siltstone.functions import text as T
 from siltstone.operators import changes, crawl, dedup, frontmatter, gates, keywords, licenses, neardup, quality, refs, search, security, stats
 from siltstone.plans import catalog
-from siltstone.plans.samples import SAMPLES
+from siltstone.plans.samples import CURATED_FILES, GATE_RECORD, GATE_SAMPLES, SAMPLES
 from siltstone.sources import io
 from siltstone.storage import spread
 from siltstone.streaming.changes import event_windows
@@ -536,37 +537,81 @@ def gate_source(spark, d):
     return judged.select("skill_id", "passes", F.array_join("reasons", "; ").alias("reasons")).distinct()
 
 
-_CURATED = "list_filter([" + ", ".join((
-    """CASE WHEN coalesce(license.class, 'None') NOT IN ('allow', 'conditional') THEN 'License class must be ''allow'' or ''conditional'', got ''' || coalesce(license.class, 'None') || '''' END""",
-    *(f"CASE WHEN {c} THEN {_quote(m)} END" for c, m in (
+# catalogue records as the gate takes them, and samples in which each of its checks fails
+_BLOCKING = rf"""list_filter([CASE WHEN length(description) > {R.MAX_DESCRIPTION} THEN 'description-too-long' WHEN length(description) BETWEEN 1 AND {R.MIN_DESCRIPTION - 1} THEN 'description-too-short' END,
+    CASE WHEN regexp_matches(description, '{R.TAG}') THEN 'description-has-xml-tags' END, CASE WHEN lower(name) IN ({_values(R.RESERVED_NAMES)}) THEN 'reserved-word-name' END], lambda x: x IS NOT NULL)"""
+_STRICT = rf"coalesce(regexp_full_match(name, '{R.NAME}') AND length(name) BETWEEN 1 AND 64 AND length(description) BETWEEN 1 AND 1024, false)"
+_DUCK_RECORD = json.dumps({
+    "id": "VARCHAR", "conformance": {"strict": "BOOLEAN", "errors": ["VARCHAR"]}, "license": {"class": "VARCHAR"}, "curated_path": "VARCHAR", "trust_tier": "VARCHAR",
+    "security": {"status": "VARCHAR", "scans": [{"engine": "VARCHAR", "ioc_patterns": [{"name": "VARCHAR", "severity": "VARCHAR"}]}],
+                 "external_refs": [{"reference": "VARCHAR", "exists": "BOOLEAN", "critical": "BOOLEAN"}]},
+    "status": "VARCHAR", "quality": {"smells": ["VARCHAR"]}, "layer": "VARCHAR",
+})
+_GATE_RECORDS = f"""(SELECT id, {_STRICT} AS strict, []::VARCHAR[] AS errors, license.class AS license_class, CASE WHEN layer = 'curated' THEN 'curated/' || name END AS curated_path,
+    CASE WHEN license.evidence IN ('skill-file', 'repo-file') THEN ['LICENSE'] ELSE [] END AS files, trust_tier, security.status AS sec, CASE WHEN security.risk_level IS NULL THEN [] ELSE ['ioc_scanner'] END AS engines,
+    []::STRUCT(name VARCHAR, severity VARCHAR)[] AS found, []::STRUCT(reference VARCHAR, "exists" BOOLEAN, critical BOOLEAN)[] AS refs, status, {_BLOCKING} AS smells, layer FROM skills
+    UNION ALL SELECT r.id, coalesce(r.conformance.strict, false), coalesce(r.conformance.errors, []), r.license.class, r.curated_path,
+    list_transform(list_filter([{_values(CURATED_FILES)}], lambda f: regexp_replace(f, '/[^/]*$', '') = r.curated_path), lambda f: split_part(f, '/', -1)), r.trust_tier, r.security.status,
+    coalesce(list_transform(r.security.scans, lambda x: x.engine), []), coalesce(flatten(list_transform(r.security.scans, lambda x: coalesce(x.ioc_patterns, []))), []), coalesce(r.security.external_refs, []), r.status,
+    coalesce(r.quality.smells, []), r.layer FROM (SELECT unnest([{", ".join(f"json_transform({_quote(json.dumps(x))}, {_quote(_DUCK_RECORD)})" for x in GATE_SAMPLES)}]) AS r))"""
+_WHEN = lambda *checks: "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {_quote(m)} END" for c, m in checks) + "], lambda x: x IS NOT NULL)"
+_MIRRORED = "coalesce(curated_path, '') <> ''"
+_CURATED = " || ".join((
+    _WHEN(("list_contains(errors, 'filename-lowercase')", "SKILL.md filename must be exact case (not skill.md)")),
+    "CASE WHEN strict THEN [] ELSE ['Frontmatter does not pass strict conformance'] || list_transform(list_filter(errors, lambda e: e <> 'filename-lowercase'), lambda e: 'Conformance error: ' || e) END",
+    """CASE WHEN coalesce(license_class, 'None') NOT IN ('allow', 'conditional') THEN ['License class must be ''allow'' or ''conditional'', got ''' || coalesce(license_class, 'None') || ''''] ELSE [] END""",
+    _WHEN(
+        (f"license_class = 'conditional' AND {_MIRRORED} AND NOT list_has_any(files, ['NOTICE', 'ATTRIBUTION.md'])", "Conditional license requires NOTICE or ATTRIBUTION file"),
+        (f"{_MIRRORED} AND NOT list_contains(files, 'LICENSE')", "Missing LICENSE file in curated directory"),
+        (f"NOT {_MIRRORED}", "Missing curated_path (skill not mirrored to curated/)"),
         ("trust_tier = 'aggregator-copy'", "Aggregator copies cannot be curated (must be from canonical source)"),
-        ("security.status = 'malicious'", "Security status is 'malicious'"),
-        ("security.status = 'error'", "Security scan failed with errors"),
-        ("status = 'dangling'", "Skill status is 'dangling' (owner or source no longer exists)"),
-        (f"length(description) > {R.MAX_DESCRIPTION}", "Blocking quality smell: description-too-long"),
-        (f"length(description) BETWEEN 1 AND {R.MIN_DESCRIPTION - 1}", "Blocking quality smell: description-too-short"),
-        (f"regexp_matches(description, '{R.TAG}')", "Blocking quality smell: description-has-xml-tags"),
-        (f"lower(name) IN ({_values(R.RESERVED_NAMES)})", "Blocking quality smell: reserved-word-name"),
-        ("coalesce(layer, '') <> 'curated'", "Skill layer is not 'curated' (no human approval)"),
-    )),
-)) + "], lambda x: x IS NOT NULL)"
-
-
-@query(f"SELECT id AS skill_id, len(r) = 0 AS passes, array_to_string(r, '; ') AS reasons FROM (SELECT DISTINCT id, {_CURATED} AS r FROM skills)")
+        ("sec = 'malicious'", "Security status is 'malicious'"), ("sec = 'error'", "Security scan failed with errors"),
+    ),
+    "list_transform(list_filter(found, lambda i: lower(i.severity) IN ('high', 'critical')), lambda i: 'Unresolved ' || upper(i.severity) || ' security finding: ' || coalesce(i.name, 'unknown'))",
+    _WHEN(("NOT list_contains(engines, 'ioc_scanner')", "Missing IOC scanner (required)"), ("status = 'dangling'", "Skill status is 'dangling' (owner or source no longer exists)")),
+    "list_transform(list_filter(refs, lambda r: NOT coalesce(r.\"exists\", false) AND coalesce(r.critical, false)), lambda r: 'Critical external reference is dangling: ' || coalesce(r.reference, 'unknown'))",
+    f"list_transform(list_filter(smells, lambda x: x IN ({_values(R.BLOCKING_SMELLS)})), lambda x: 'Blocking quality smell: ' || x)",
+    _WHEN(("coalesce(layer, '') <> 'curated'", "Skill layer is not 'curated' (no human approval)")),
+))
+_WATCHED = "coalesce(layer = 'curated', false) AND coalesce(status, '') NOT IN ('removed', 'quarantined')"
+
+
+def _gate_records(spark, d):
+    c = F.col
+    found = F.array_compact(F.array(
+        F.when(F.length("description") > R.MAX_DESCRIPTION, "description-too-long").when(F.length("description").between(1, R.MIN_DESCRIPTION - 1), "description-too-short"),
+        F.when(c("description").rlike(R.pattern(R.TAG)), "description-has-xml-tags"), F.when(F.lower("name").isin(*R.RESERVED_NAMES), "reserved-word-name"),
+    ))
+    strict = F.coalesce(c("name").rlike(R.NAME) & F.length("name").between(1, 64) & F.length("description").between(1, 1024), F.lit(False))
+    patterns, refs_ = "array<struct<name:string,severity:string>>", "array<struct<reference:string,exists:boolean,critical:boolean>>"
+    scans = F.when(c("security.risk_level").isNotNull(), F.array(F.struct(F.lit("ioc_scanner").alias("engine"), F.array().cast(patterns).alias("ioc_patterns"))))
+    skills = table(spark, d, "skills").select(
+        "id", F.struct(strict.alias("strict"), F.array().cast("array<string>").alias("errors")).alias("conformance"), F.struct(c("license.class").alias("class")).alias("license"),
+        F.when(c("layer") == "curated", F.concat(F.lit("curated/"), "name")).alias("curated_path"), "trust_tier",
+        F.struct(c("security.status").alias("status"), scans.alias("scans"), F.array().cast(refs_).alias("external_refs")).alias("security"), "status",
+        F.struct(found.alias("smells")).alias("quality"), "layer", F.when(c("license.evidence").isin("skill-file", "repo-file"), F.array(F.lit("LICENSE"))).alias("curated_files"),
+    )
+    lines = spark.createDataFrame([(json.dumps(x),) for x in GATE_SAMPLES], "line string")
+    samples = gates.with_curated_files(lines.select(F.inline(F.array(F.from_json("line", GATE_RECORD)))), spark.createDataFrame([(f,) for f in CURATED_FILES], "path string"))
+    return skills.unionByName(samples)
+
+
+@query(f"SELECT id AS skill_id, len(r) = 0 AS passes, array_to_string(r, '; ') AS reasons FROM (SELECT DISTINCT id, {_CURATED} AS r FROM {_GATE_RECORDS})")
 def gate_curated(spark, d):
-    judged = gates.gate(table(spark, d, "skills"), gates.curated_reasons(), "curated")
+    judged = gates.gate(_gate_records(spark, d), gates.curated_reasons(), "curated")
     return judged.select("skill_id", "passes", F.array_join("reasons", "; ").alias("reasons")).distinct()
 
 
-@query(
-    f"""SELECT id AS skill_id, array_to_string(r, '; ') AS reasons FROM (SELECT DISTINCT id, {_CURATED} AS r FROM skills WHERE layer = 'curated'
-    AND coalesce(status, '') NOT IN ('removed', 'quarantined')) WHERE len(r) > 0"""
-)
+@query(f"SELECT id AS skill_id, array_to_string(r, '; ') AS reasons FROM (SELECT DISTINCT id, {_CURATED} AS r FROM {_GATE_RECORDS} WHERE {_WATCHED}) WHERE len(r) > 0")
 def gate_regressions(spark, d):
     """Curated records that would no longer pass."""
-    kept = table(spark, d, "skills").where((F.col("layer") == "curated") & ~F.coalesce("status", F.lit("")).isin("removed", "quarantined"))
-    judged = gates.gate(kept, gates.curated_reasons(), "curated").where("not passes")
-    return judged.select("skill_id", F.array_join("reasons", "; ").alias("reasons")).distinct()
+    return gates.regressions(_gate_records(spark, d)).select("skill_id", F.array_join("reasons", "; ").alias("reasons")).distinct()
+
+
+@query(f"SELECT DISTINCT id AS skill_id, CASE WHEN {_WATCHED} AND len({_CURATED}) > 0 THEN 'review' ELSE status END AS status FROM {_GATE_RECORDS}")
+def regressions_marked(spark, d):
+    """The status of every record after the regression check."""
+    return gates.marked_for_review(_gate_records(spark, d)).select(F.col("id").alias("skill_id"), "status").distinct()
 
 
 @query(
@@ -677,6 +722,55 @@ def crawl_rollup(spark, d):
     return crawl.rollup(table(spark, d, "crawl_state"))
 
 
+_SINCE = "2026-01-01 00:00:00"
+_UPSERT = f"""WITH a AS (SELECT DISTINCT source_id, head_sha, crawled_at, skills_found, last_error FROM crawl_state),
+    o AS (SELECT source_id, arg_max(head_sha, (crawled_at, head_sha)) FILTER (head_sha IS NOT NULL) AS head_sha, max(crawled_at) FILTER (head_sha IS NOT NULL) AS crawled_at,
+    arg_max(skills_found, (crawled_at, head_sha)) FILTER (head_sha IS NOT NULL) AS skills_found,
+    arg_max_null(last_error, (crawled_at, coalesce(head_sha, ''), coalesce(last_error, ''))) AS last_error FROM a WHERE crawled_at < TIMESTAMP '{_SINCE}' GROUP BY source_id),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY crawled_at DESC, head_sha DESC NULLS LAST, last_error DESC NULLS LAST, skills_found DESC NULLS LAST) AS rn FROM a WHERE crawled_at >= TIMESTAMP '{_SINCE}') WHERE rn = 1),
+    j AS (SELECT coalesce(o.source_id, n.source_id) AS source_id, o.head_sha AS oh, o.crawled_at AS oc, o.skills_found AS os, o.last_error AS oe, n.head_sha AS nh, n.crawled_at AS nc, n.skills_found AS ns, n.last_error AS ne,
+    CASE WHEN n.source_id IS NULL THEN 'untried' WHEN n.head_sha IS NULL THEN 'failed' WHEN n.head_sha = o.head_sha THEN 'skipped' ELSE 'crawled' END AS outcome FROM o FULL JOIN n ON o.source_id = n.source_id)
+    SELECT source_id, outcome, CASE WHEN outcome = 'crawled' THEN nh ELSE oh END AS head_sha, CASE WHEN outcome = 'crawled' THEN nc ELSE oc END AS crawled_at, CASE WHEN outcome = 'crawled' THEN ns ELSE os END AS skills_found,
+    CASE outcome WHEN 'failed' THEN coalesce(ne, 'Failed to get HEAD SHA') WHEN 'crawled' THEN NULL ELSE oe END AS last_error FROM j"""
+
+
+def _upserted(spark, d):
+    every = table(spark, d, "crawl_state").select("source_id", "head_sha", "crawled_at", "skills_found", "last_error").distinct()
+    since = F.lit(_SINCE).cast("timestamp")
+    low = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    last = F.max_by(F.struct(*every.columns), F.struct("crawled_at", low("head_sha"), low("last_error"), F.coalesce("skills_found", F.lit(-1))))
+    attempts = every.where(F.col("crawled_at") >= since).groupBy(F.col("source_id").alias("_s")).agg(last.alias("r")).select("r.*")
+    return crawl.upsert_state(crawl.latest_state(every.where(F.col("crawled_at") < since)), attempts)
+
+
+@query(_UPSERT)
+def crawl_upsert(spark, d):
+    """The state after the last attempt since a date on top of what was before: crawled, skipped, failed, untried."""
+    return _upserted(spark, d)
+
+
+@query(f"SELECT outcome, count(*) AS sources, coalesce(sum(CASE WHEN outcome = 'crawled' THEN skills_found END), 0)::BIGINT AS skills_found FROM ({_UPSERT}) GROUP BY outcome")
+def crawl_outcomes(spark, d):
+    """The rollup of one run over all sources."""
+    found = F.coalesce(F.sum(F.when(F.col("outcome") == "crawled", F.col("skills_found"))), F.lit(0))
+    return _upserted(spark, d).groupBy("outcome").agg(F.count("*").alias("sources"), found.alias("skills_found"))
+
+
+_OWNER = rf"nullif(lower(regexp_extract(url, '(?i)^https?://(?:www\.)?{HOST}/([^/?#]+)', 1)), '')"
+
+
+@query(
+    f"""WITH s AS (SELECT id, {_OWNER} AS owner, lower(status) AS status FROM sources), gone AS (SELECT DISTINCT id FROM s WHERE owner IS NOT NULL AND owner NOT IN (SELECT owner FROM s WHERE status = 'active' AND owner IS NOT NULL))
+    SELECT DISTINCT k.id, CASE WHEN g.id IS NOT NULL THEN 'dangling' ELSE k.status END AS status, CASE WHEN g.id IS NOT NULL THEN 'source_owner_deleted' END AS status_reason FROM skills k LEFT JOIN gone g ON k.source.source_id = g.id"""
+)
+def dangling_owners(spark, d):
+    """Records of sources whose owner no longer exists; the owners of active sources are taken to exist."""
+    sources = table(spark, d, "sources")
+    owners = sources.where(F.lower("status") == "active").select(refs.owner(F.col("url"), HOST).alias("owner")).where("owner is not null")
+    records = table(spark, d, "skills").select("id", "status", F.col("source.source_id").alias("source_id"))
+    return catalog.mark_dangling(records, refs.without_owner(sources, owners, HOST)).select("id", "status", "status_reason").distinct()
+
+
 @query(
     """SELECT DISTINCT s.source.source_id AS source_id, s.source.path || '/SKILL.md' AS path FROM skills s JOIN sources c ON s.source.source_id = c.id
     WHERE (len(coalesce(c.include_patterns, [])) = 0 OR regexp_matches(s.source.path || '/SKILL.md', '^skills/[^/]*/SKILL\\.md(?:/.*)?$'))
@@ -746,18 +840,52 @@ def stats_rollup(spark, d):
     return _stat_rows(spark, d).rollup("license_class", "trust_tier").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
 
 
-@query(
-    f"""SELECT '- **Total skills indexed:** [' || format('{{:,}}', total_skills) || '](index/skills.jsonl)' || chr(10)
+_BLOCK = f"""SELECT '- **Total skills indexed:** [' || format('{{:,}}', total_skills) || '](index/skills.jsonl)' || chr(10)
     || CASE WHEN total_skills <> canonical_skills THEN '- **Canonical skills:** [' || format('{{:,}}', canonical_skills) || '](index/skills.jsonl) (after deduplication)' || chr(10) ELSE '' END
     || '- **Source repositories:** [' || format('{{:,}}', (SELECT count(*) FROM sources)) || '](index/sources.json)' || chr(10) || '- **Curated skills:** [' || format('{{:,}}', curated_skills) || '](curated/)' || chr(10)
     || '- **License-resolved:** ' || format('{{:.1f}}', round(license_resolved / total_skills * 100, 1)) || '% (' || format('{{:,}}', license_resolved) || ' of ' || format('{{:,}}', total_skills) || ' skills)' || chr(10)
     || '- **Last updated:** 2026-01-01' AS block FROM ({_OVERVIEW})"""
-)
+
+
+@query(_BLOCK)
 def stats_block(spark, d):
     repos = table(spark, d, "sources").select(F.count("*")).scalar()
     return stats.block(stats_overview(spark, d).withColumn("repositories", repos), "2026-01-01")
 
 
+_README = "'# Title' || chr(10) || '<!-- stats:start -->' || chr(10) || {} || chr(10) || '<!-- stats:end -->' || chr(10) || 'End'"
+_READMES = f"""(SELECT block, unnest(['same', 'stale', 'no start', 'no end', 'wrong order', 'empty']) AS name, unnest([{_README.format("block")}, {_README.format("'- **Total skills indexed:** old'")},
+    'no markers', '<!-- stats:start --> only', '<!-- stats:end -->' || block || '<!-- stats:start -->', '<!-- stats:start --><!-- stats:end -->']) AS readme FROM ({_BLOCK}))"""
+
+
+@query(
+    rf"""WITH r AS (SELECT name, block, readme, trim(regexp_extract(readme, '(?s)<!-- stats:start -->\s*(.*?)\s*<!-- stats:end -->', 1), ' ') AS found FROM {_READMES})
+    SELECT name, CASE WHEN NOT contains(readme, '<!-- stats:start -->') THEN 'README.md missing <!-- stats:start --> marker' WHEN NOT contains(readme, '<!-- stats:end -->') THEN 'README.md missing <!-- stats:end --> marker'
+    WHEN NOT regexp_matches(readme, '(?s)<!-- stats:start -->.*<!-- stats:end -->') THEN 'Failed to extract stats block from README.md'
+    WHEN found <> trim(block, ' ') THEN 'README stats block does not match stats.json; Expected:' || chr(10) || trim(block, ' ') || '; Found:' || chr(10) || found ELSE '' END AS errors FROM r"""
+)
+def readme_consistent(spark, d):
+    """Whether README texts hold the statistics' block: the right one, a stale one, and broken markers."""
+    block = stats_block(spark, d).select("block")
+    marked = lambda c: F.concat(F.lit("# Title\n<!-- stats:start -->\n"), c, F.lit("\n<!-- stats:end -->\nEnd"))
+    cases = {
+        "same": marked(F.col("block")), "stale": marked(F.lit("- **Total skills indexed:** old")), "no start": F.lit("no markers"), "no end": F.lit("<!-- stats:start --> only"),
+        "wrong order": F.concat(F.lit("<!-- stats:end -->"), "block", F.lit("<!-- stats:start -->")), "empty": F.lit("<!-- stats:start --><!-- stats:end -->"),
+    }
+    each = block.select("block", F.inline(F.array(*(F.struct(F.lit(n).alias("name"), c.alias("readme")) for n, c in cases.items()))))
+    return each.select("name", F.array_join(stats.document_errors(F.col("readme"), F.col("block")), "; ").alias("errors"))
+
+
+_LENGTHS = "(SELECT list_sort(list(n_chars)) AS l, count(n_chars) AS n FROM documents WHERE n_chars IS NOT NULL)"
+
+
+@query(f'SELECT l[1] AS "min", l[n // 2 + 1] AS median, l[(n * 0.95::DOUBLE)::BIGINT - CASE WHEN (n * 0.95::DOUBLE)::BIGINT > n * 0.95::DOUBLE THEN 1 ELSE 0 END + 1] AS p95, '
+       f'l[(n * 0.99::DOUBLE)::BIGINT - CASE WHEN (n * 0.99::DOUBLE)::BIGINT > n * 0.99::DOUBLE THEN 1 ELSE 0 END + 1] AS p99, l[n] AS "max" FROM {_LENGTHS}')
+def length_percentiles(spark, d):
+    """Lengths of documents at places of the sorted list, as latencies are reported."""
+    return stats.sorted_index_percentiles(table(spark, d, "documents"), "n_chars")
+
+
 _AGE = f"(SELECT {_MICROS} AS seen FROM (SELECT DISTINCT id, first_seen FROM skills))"
 _AT = 1_800_000_000_000_000
 
@@ -820,8 +948,28 @@ _COMPACT = f"""(SELECT DISTINCT id, coalesce(name, '') AS n, CASE WHEN length(de
     FROM skills WHERE {_ELIGIBLE})"""
 
 
-@query(f"SELECT * FROM {_COMPACT}")
+def _top12_sql(base: str) -> str:
+    idf_ = f"""(SELECT term, ln((SELECT count(*) FROM {base}) / count(*)) AS idf FROM (SELECT unnest(list_distinct({_TOKENS.format("concat_ws(' ', name, description)")})) AS term FROM {base}) GROUP BY term)"""
+    return f"""(WITH tf AS (SELECT id, term, sum(w) AS tf FROM (SELECT id, unnest({_TOKENS.format("coalesce(name, '')")}) AS term, 3 AS w FROM {base} UNION ALL SELECT id, unnest({_TOKENS.format("coalesce(description, '')")}), 2 FROM {base}) GROUP BY 1, 2),
+    s AS (SELECT id, term, round(tf * coalesce(idf, ln(1000)), 9) AS score FROM tf LEFT JOIN {idf_} USING (term)), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, term) AS rn FROM s)
+    SELECT id, string_agg(term, ',' ORDER BY rn) AS kw FROM r WHERE rn <= 12 GROUP BY id)"""
+
+
+_KW_BASE = f"(SELECT id, min(name) AS name, min(description) AS description FROM skills WHERE {_ELIGIBLE} GROUP BY id)"
+
+
+@query(f"""SELECT c.*, coalesce(kw, '') AS kw, '{{"npx":null,"gh":null,"claude_plugin":null}}' AS install FROM {_COMPACT} c LEFT JOIN {_top12_sql(_KW_BASE)} USING (id)""")
 def compact_record(spark, d):
+    """The short record of search shards, with keywords over all eligible records and the (unknown) install commands."""
+    s = table(spark, d, "skills")
+    keep = keywords.eligible(F.col("id"), F.col("dedup.canonical_id"), F.col("status"), F.col("security.status"))
+    named = s.where(keep).groupBy("id").agg(F.min("name").alias("name"), F.min("description").alias("description"))
+    top = keywords.top_keywords(named, "id", "name", "description").select("id", F.array_join("keywords", ",").alias("kw"))
+    install = F.to_json(catalog.no_install(), {"ignoreNullFields": "false"}).alias("install")
+    return _compact(spark, d).join(top, "id", "left").select("*", install).na.fill("", ["kw"])
+
+
+def _compact(spark, d):
     s = table(spark, d, "skills")
     keep = keywords.eligible(F.col("id"), F.col("dedup.canonical_id"), F.col("status"), F.col("security.status"))
     or_else = lambda c, x: F.coalesce(F.col(c), F.lit(x))
@@ -832,11 +980,19 @@ def compact_record(spark, d):
     ).distinct()
 
 
-@query()
+_SHARD = 64 << 10
+
+
+@query(
+    f"""WITH RECURSIVE r AS (SELECT id, max(tier) AS tier, max(strlen(d) + 1) AS bytes FROM {_COMPACT} GROUP BY id), o AS (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY id) AS k FROM r),
+    f AS (SELECT tier, id, k, 0 AS shard, bytes AS load FROM o WHERE k = 1 UNION ALL SELECT o.tier, o.id, o.k, CASE WHEN f.load + o.bytes > {_SHARD} THEN f.shard + 1 ELSE f.shard END,
+    CASE WHEN f.load + o.bytes > {_SHARD} THEN o.bytes ELSE f.load + o.bytes END FROM f JOIN o ON o.tier = f.tier AND o.k = f.k + 1)
+    SELECT tier, id, shard::BIGINT AS shard FROM f"""
+)
 def shard_assignment(spark, d):
     """Shards of at most 64 KiB of descriptions per tier, filled in the order of ids."""
-    sized = compact_record(spark, d).groupBy("id").agg(F.max("tier").alias("tier"), F.max(F.octet_length("d") + 1).cast("long").alias("bytes"))
-    return keywords.greedy_shards(sized, "tier", "id", "bytes", 64 << 10)
+    sized = _compact(spark, d).groupBy("id").agg(F.max("tier").alias("tier"), F.max(F.octet_length("d") + 1).cast("long").alias("bytes"))
+    return keywords.greedy_shards(sized, "tier", "id", "bytes", _SHARD)
 
 
 @query(

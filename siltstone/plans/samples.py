@@ -37,3 +37,62 @@ SAMPLES = (
     ("source", None, "Your first stop, the default registry.   \nfirst-stop default  registry"),
     ("source", None, ""),
 )
+
+
+# Records that meet all checks of the curated gate but those named in their id, as JSON; together every check fails once.
+_GOOD = {
+    "conformance": {"strict": True, "errors": []}, "license": {"class": "allow"}, "curated_path": "curated/good", "trust_tier": "official",
+    "security": {"status": "pass", "scans": [{"engine": "ioc_scanner", "ioc_patterns": []}], "external_refs": []}, "status": "active",
+    "quality": {"smells": []}, "layer": "curated",
+}
+_SCANNED = {"engine": "ioc_scanner", "ioc_patterns": []}
+
+
+def _scan(**more) -> dict:
+    return {"security": {**_GOOD["security"], **more}}
+
+
+GATE_SAMPLES = tuple(
+    {"id": f"sample/{name}", **_GOOD, **differs}
+    for name, differs in (
+        ("good", {}),
+        ("filename", {"conformance": {"strict": True, "errors": ["filename-lowercase"]}}),
+        ("not-strict", {"conformance": {"strict": False, "errors": ["filename-lowercase", "name length must be 1-64, got 70", "Unknown top-level keys: ['x']"]}}),
+        ("no-conformance", {"conformance": None}),
+        ("deny", {"license": {"class": "deny"}}),
+        ("no-license", {"license": None}),
+        ("conditional", {"license": {"class": "conditional"}}),
+        ("conditional-with-notice", {"license": {"class": "conditional"}, "curated_path": "curated/noticed"}),
+        ("conditional-with-attribution", {"license": {"class": "conditional"}, "curated_path": "curated/attributed"}),
+        ("no-license-file", {"curated_path": "curated/bare"}),
+        ("not-mirrored", {"curated_path": None}),
+        ("empty-path", {"curated_path": ""}),
+        ("aggregator", {"trust_tier": "aggregator-copy"}),
+        ("malicious", _scan(status="malicious")),
+        ("error", _scan(status="error")),
+        ("review", _scan(status="review")),
+        ("findings", _scan(scans=[{"engine": "ioc_scanner", "ioc_patterns": [{"name": "eval_exec", "severity": "high"}, {"name": "sudo", "severity": "medium"}, {"name": None, "severity": "CRITICAL"}]}])),
+        ("other-engine", _scan(scans=[{"engine": "other", "ioc_patterns": [{"name": "x", "severity": "High"}]}])),
+        ("no-patterns", _scan(scans=[{"engine": "ioc_scanner", "ioc_patterns": None}])),
+        ("no-scans", _scan(scans=None)),
+        ("dangling", {"status": "dangling"}),
+        ("refs", _scan(external_refs=[
+            {"reference": "https://a.b", "exists": False, "critical": True}, {"reference": "c", "exists": False, "critical": False},
+            {"reference": "d", "exists": True, "critical": True}, {"reference": None, "exists": None, "critical": True},
+        ])),
+        ("smells", {"quality": {"smells": ["backslash-paths", "reserved-word-name", "description-too-short"]}}),
+        ("source-layer", {"layer": "source"}),
+        ("removed", {"status": "removed", "trust_tier": "aggregator-copy"}),
+        ("quarantined", {"status": "quarantined", "trust_tier": "aggregator-copy"}),
+        ("nothing", {k: None for k in _GOOD}),
+    )
+)
+CURATED_FILES = (
+    "curated/good/LICENSE", "curated/good/SKILL.md", "curated/noticed/LICENSE", "curated/noticed/NOTICE", "curated/attributed/LICENSE",
+    "curated/attributed/ATTRIBUTION.md", "curated/bare/NOTICE", "curated/good/sub/NOTICE",
+)
+GATE_RECORD = (
+    "id string, conformance struct<strict:boolean,errors:array<string>>, license struct<class:string>, curated_path string, trust_tier string, "
+    "security struct<status:string,scans:array<struct<engine:string,ioc_patterns:array<struct<name:string,severity:string>>>>,"
+    "external_refs:array<struct<reference:string,exists:boolean,critical:boolean>>>, status string, quality struct<smells:array<string>>, layer string"
+)

@@ -285,7 +285,9 @@ def test_stats_block():
 def test_shards_are_filled_in_order(spark):
     rng = random.Random(2)
     rows = [(g, i, rng.randint(1, 40)) for g in ("x", "y") for i in range(300)] + [("z", 0, 500)]
-    got = {(r.g, r.i): r.shard for r in keywords.greedy_shards(spark.createDataFrame(rows, "g string, i int, n long"), "g", "i", "n", 100).collect()}
+    shards = lambda run: {(r.g, r.i): r.shard for r in keywords.greedy_shards(spark.createDataFrame(rows, "g string, i int, n long"), "g", "i", "n", 100, run).collect()}
+    got = shards(256)
+    assert got == shards(1) == shards(7)  # however the records are cut into runs
     for g in ("x", "y"):
         shard = load = 0
         for _, i, n in (r for r in rows if r[0] == g):
