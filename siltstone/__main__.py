@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators import changes, dedup, frontmatter, gates, quality, refs, search, security, stats
+from siltstone.operators import changes, dedup, frontmatter, gates, keywords, quality, refs, search, security, stats
 from siltstone.plans import catalog, ingest
 from siltstone.sources import io
 from siltstone.storage import materialize, ship
@@ -38,11 +38,17 @@ def cmd_build(spark, a):
     sources = io.read_sources(spark, a.sources, SOURCE)
     empty = spark.createDataFrame([], "id string, content_hash string, first_seen string, last_changed string, license struct<spdx:string>, security struct<status:string>, status string")
     previous = spark.read.parquet(a.previous) if a.previous else empty
-    built = materialize(catalog.build(io.read_raw(spark, a.raw), sources, previous, a.host, a.now), "catalog")
+    gone = None
+    if a.owners:  # JSONL (owner) of the owners that exist
+        gone = refs.without_owner(sources, spark.read.schema("owner string").json(a.owners), a.host)
+    verdicts = spark.read.schema("id string, verdict string").json(a.verdicts) if a.verdicts else None
+    built = materialize(catalog.build(io.read_raw(spark, a.raw), sources, previous, a.host, a.now, gone, verdicts), "catalog")
     built.write.mode("overwrite").parquet(f"{a.out}/catalog")
     flat = lambda df: df.select("id", "content_hash", F.col("license.spdx").alias("license"), F.col("security.status").alias("security"), "status")
-    changes.changes(flat(previous), flat(built)).withColumn("timestamp", F.lit(a.now)).write.mode("append").json(f"{a.out}/changes")
-    _statistics(built).withColumn("repositories", F.lit(sources.count())).coalesce(1).write.mode("overwrite").json(f"{a.out}/stats")
+    io.append_changes(changes.changes(flat(previous), flat(built)).withColumn("timestamp", F.lit(a.now)), f"{a.out}/changes")
+    io.write_catalog(built, f"{a.out}/json")
+    io.write_one_json(_statistics(built).withColumn("repositories", F.lit(sources.count())), f"{a.out}/stats.json")
+    _print(io.broken_lines(spark, a.raw))
 
 
 def _statistics(built: DataFrame) -> DataFrame:
@@ -65,6 +71,43 @@ def cmd_lint(spark, a):
     _print(parsed.select("path", "fm.strict", "fm.lenient", "fm.errors", quality.smells(F.col("content"), F.col("fm.name"), F.col("fm.description")).alias("smells")))
 
 
+def cmd_lint_quality(spark, a):
+    """Quality smells of the package files in a folder; with --fail, exit 1 if there are any."""
+    files = _texts(spark, a.folder).where(F.lower("path").rlike(r"(^|/)skill\.md$")).withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
+    parsed = frontmatter.parse(files, "content", "dir", True)
+    found = materialize(parsed.select("path", quality.smells(F.col("content"), F.col("fm.name"), F.col("fm.description")).alias("smells")), "smells")
+    _print(found.select("path", (F.size("smells") == 0).alias("passes"), "smells"))
+    if a.fail and found.where("size(smells) > 0").limit(1).count():
+        raise SystemExit(1)
+
+
+def cmd_check_curated_gate(spark, a):
+    """Curated records that would no longer pass; unless --dry-run, a copy of the catalog with them marked for review."""
+    listing = _texts(spark, a.files).select("path")
+    df = gates.with_curated_files(_with_gate_columns(spark.read.parquet(a.catalog)), listing)
+    _print(gates.regressions(df))
+    if not a.dry_run:
+        gates.marked_for_review(df).drop("curated_files").write.mode("overwrite").parquet(a.out)
+
+
+def _with_gate_columns(df: DataFrame) -> DataFrame:
+    for name, kind in (("curated_path", "string"), ("conformance", "struct<strict:boolean,errors:array<string>>"), ("quality", "struct<smells:array<string>>")):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast(kind))
+    return df
+
+
+def cmd_shards(spark, a):
+    """Compact search records of a catalog in shards: curated and official whole, the others by size."""
+    df = spark.read.parquet(a.catalog).where(keywords.eligible(F.col("id"), F.col("canonical_id"), F.col("status"), F.col("security.status")))
+    records = materialize(df.join(keywords.top_keywords(df, "id", "name", "description").withColumnRenamed("keywords", "kw"), "id", "left").select(
+        "id", F.col("name").alias("n"), keywords.shortened(F.col("description")).alias("d"), "kw", F.col("trust_tier").alias("tier"), F.col("license.spdx").alias("lic"),
+        F.col("security.status").alias("sec"), "install", F.col("content_hash").alias("h"), F.col("layer").alias("_layer"),
+    ), "compact")
+    sized = records.select("id", F.col("_layer").alias("layer"), "tier", (F.octet_length(F.to_json(F.struct(*(c for c in records.columns if c != "_layer")))) + 1).cast("long").alias("bytes"))
+    io.write_shards(records.drop("_layer").join(keywords.shard_names(sized, a.capacity), "id"), a.out)
+
+
 def cmd_scan(spark, a):
     """Security scan of the texts in a folder."""
     docs = _texts(spark, a.folder).withColumns({"description": F.lit(None).cast("string"), "scripts": F.lit(False), "layer": F.lit("source")})
@@ -82,6 +125,9 @@ def cmd_validate(spark, a):
 
 def cmd_gate(spark, a):
     df = spark.read.parquet(a.table)
+    if a.kind == "curated":
+        listing = _texts(spark, a.files).select("path") if a.files else spark.createDataFrame([], "path string")
+        df = gates.with_curated_files(_with_gate_columns(df), listing)
     reasons = gates.curated_reasons() if a.kind == "curated" else gates.source_reasons()
     _print(gates.gate(df.where(F.col("id") == a.id) if a.id else df, reasons, a.kind))
 
@@ -101,9 +147,15 @@ def cmd_refs(spark, a):
 
 def cmd_discover(spark, a):
     """Repository links of the Markdown files in a folder that no source has."""
-    docs = _texts(spark, a.folder).where("path like '%.md'")
-    links = refs.distinct_links(refs.repositories(docs, "path", "content", a.host), "path", "at")
-    refs.candidates(links, F.lit(a.aggregator), io.read_sources(spark, a.sources, SOURCE)).write.mode("overwrite").json(a.out)
+    known = io.read_sources(spark, a.sources, SOURCE)
+
+    def of(folder: str, name: str) -> DataFrame:
+        docs = _texts(spark, folder).where("path like '%.md'")
+        links = refs.distinct_links(refs.repositories(docs, "path", "content", a.host), "path", "at")
+        return refs.candidates(links, F.lit(name), known)
+
+    lists = [of(a.folder, a.aggregator)] + ([of(a.second, a.second_aggregator)] if a.second else [])
+    refs.union_of_candidates(*lists).write.mode("overwrite").json(a.out)
 
 
 def cmd_import_sources(spark, a):
@@ -151,16 +203,19 @@ def parser() -> argparse.ArgumentParser:
 
     now, host = "1970-01-01T00:00:00+00:00", "github.com"
     add("ingest", cmd_ingest, "folder", "source", "out", commit="0" * 40, now=now)
-    add("build", cmd_build, "raw", "sources", "out", previous=None, host=host, now=now)
+    add("build", cmd_build, "raw", "sources", "out", previous=None, owners=None, verdicts=None, host=host, now=now)
     add("stats", cmd_stats, "catalog", readme=None, repositories=0, now=now)
     add("lint-skill", cmd_lint, "folder", lenient=False)
+    add("lint-quality", cmd_lint_quality, "folder", fail=False)
+    add("check-curated-gate", cmd_check_curated_gate, "catalog", "files", "out", dry_run=False)
+    add("shards", cmd_shards, "catalog", "out", capacity=1 << 20)
     add("scan-security", cmd_scan, "folder")
     add("wording", cmd_wording, "folder")
     add("validate", cmd_validate, "table", kind="records")
-    add("gate", cmd_gate, "kind", "table", id=None)
+    add("gate", cmd_gate, "kind", "table", id=None, files=None)
     add("dedup", cmd_dedup, "catalog", top=20)
     add("check-refs", cmd_refs, "folder", "known", host=host)
-    add("discover", cmd_discover, "folder", "sources", "out", aggregator="aggregator", host=host)
+    add("discover", cmd_discover, "folder", "sources", "out", aggregator="aggregator", second=None, second_aggregator="aggregator 2", host=host)
     add("import-sources", cmd_import_sources, "seeds", "out", now=now)
     add("index", cmd_index, "catalog", "out")
     add("find", cmd_find, "index", "query", k=5, layer=None, license=None, min_trust=None)

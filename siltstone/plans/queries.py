@@ -1119,16 +1119,14 @@ def grep_search(spark, d):
 
 def _near_docs(spark, d):
     docs = table(spark, d, "documents").where("text is not null and text <> ''")
-    texts = docs.select(F.col("doc_id").alias("doc"), T.body(F.col("text")).alias("text"), F.lit("unreviewed").alias("tier"), F.lit(None).cast("long").alias("seen"), F.xxhash64("text").alias("h"))
+    texts = docs.select(F.col("doc_id").alias("doc"), T.body(F.col("text")).alias("text"), F.lit("unreviewed").alias("tier"), F.lit(None).cast("long").alias("seen"))
     return texts
 
 
 @query()
 def near_dup_labels(spark, d):
-    """Near-duplicate groups of documents, one text of each exact copy, mirrors told from edits."""
-    docs = _near_docs(spark, d)
-    one = docs.groupBy("h").agg(F.min("doc").alias("doc")).join(docs.drop("h"), "doc").drop("h")
-    return neardup.near_duplicates(one).withColumnRenamed("doc", "doc_id")
+    """Near-duplicate groups of documents with all exact copies, mirrors told from edits."""
+    return neardup.label_copies(_near_docs(spark, d)).withColumnRenamed("doc", "doc_id")
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import rules as R
+from siltstone.storage import write_bytes
 
 RAW = (
     "source_id string, path string, skill_dir string, blob_sha string, content string, skill_md_sha256 string, folder_sha256 string, "
@@ -18,8 +19,21 @@ RAW = (
 
 
 def read_raw(spark: SparkSession, directory: str) -> DataFrame:
-    """All *.jsonl crawl files of a directory; broken and blank lines are left out."""
-    return spark.read.schema(RAW).option("mode", "DROPMALFORMED").option("pathGlobFilter", "*.jsonl").json(directory).where("source_id is not null")
+    """All *.jsonl crawl files of a directory; broken and blank lines are left out (see ``broken_lines``)."""
+    return _read_raw(spark, directory).where("_broken is null and source_id is not null").drop("_broken")
+
+
+def _read_raw(spark: SparkSession, directory: str) -> DataFrame:
+    read = spark.read.schema(RAW + ", _broken string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken")
+    return read.option("pathGlobFilter", "*.jsonl").json(directory)
+
+
+def broken_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """(file, lines) of the crawl files with lines that are no JSON object of the schema; no line is dropped unseen."""
+    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(directory).where("trim(value) <> ''")
+    parsed = F.from_json("value", RAW + ", _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    every = lines.select(F.col("_metadata.file_name").alias("file"), parsed.alias("row"))
+    return every.where("row._broken is not null").groupBy("file").agg(F.count("*").alias("lines"))
 
 
 def read_keyed_jsonl(spark: SparkSession, path: str, schema: str, key: str = "id") -> DataFrame:
@@ -41,6 +55,17 @@ def read_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFram
     return files.select("path", F.decode("content", "UTF-8").alias("content"), "length")
 
 
+LISTING = "repo string, mode string, type string, sha string, path string"
+
+
+def read_listing(spark: SparkSession, path: str) -> DataFrame:
+    """LISTING of tree listings, one text file per repository (its name, with ``/`` as ``__``): mode, type, sha, a tab, the path."""
+    lines = spark.read.text(path).select(F.regexp_replace(F.regexp_replace("_metadata.file_name", r"\.[^.]*$", ""), "__", "/").alias("repo"), "value")
+    part = lambda n: F.regexp_extract("value", r"^(\d{6}) (\w+) ([0-9a-f]{40,64})\t(.+)$", n)
+    listed = lines.select("repo", part(1).alias("mode"), part(2).alias("type"), part(3).alias("sha"), F.regexp_replace(part(4), '^"|"$', "").alias("path"))
+    return listed.where("path <> ''")
+
+
 def readme(files: DataFrame) -> DataFrame:
     """(repo, content) of each repository's README: README.md before readme.md, README and README.rst."""
     order = ("README.md", "readme.md", "README", "README.rst")
@@ -67,7 +92,9 @@ def to_json_lines(df: DataFrame) -> DataFrame:
 
     def ordered(column, kind):
         if isinstance(kind, T.StructType):
-            return F.struct(*(ordered(column[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)))
+            return F.when(column.isNotNull(), F.struct(*(ordered(column[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name))))
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType | T.ArrayType):
+            return F.transform(column, lambda x: ordered(x, kind.elementType))
         return column
 
     fields = sorted(df.schema.fields, key=lambda f: f.name)
@@ -81,24 +108,29 @@ def write_json_lines(df: DataFrame, path: str, order: str = "id") -> None:
 
 
 def write_catalog(df: DataFrame, path: str, limit: int = R.FULL_CATALOG_BYTES) -> bool:
-    """The whole catalog if its JSON is within the limit, else its curated, official and community part; true if whole."""
+    """The whole catalog if its JSON is within the limit, else its curated, official and community part, and a pointer; true if whole."""
     size = to_json_lines(df).agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0
     whole = size <= limit
     kept = df if whole else df.where((F.col("layer") == "curated") | F.col("trust_tier").isin("official", "community"))
-    write_json_lines(kept, path)
+    write_json_lines(kept, f"{path}/records")
+    if not whole:
+        pointer = df.sparkSession.createDataFrame([("the full catalog is too large for this file", size, limit)], "note string, bytes long, limit long")
+        write_one_json(pointer, f"{path}/pointer.json")
     return whole
 
 
 def write_shards(records: DataFrame, path: str) -> None:
-    """JSONL files in one directory per shard (column ``shard``)."""
-    lines = records.select("shard", F.to_json(F.struct(*(c for c in sorted(records.columns) if c != "shard"))).alias("line"))
-    lines.repartition("shard").write.mode("overwrite").partitionBy("shard").text(path)
+    """JSONL files in one directory per shard (column ``shard``), each sorted by id."""
+    fields = [c for c in sorted(records.columns) if c != "shard"]
+    lines = records.select("shard", "id", F.to_json(F.struct(*fields)).alias("line"))
+    lines.repartition("shard").sortWithinPartitions("shard", "id").drop("id").write.mode("overwrite").partitionBy("shard").text(path)
 
 
 def write_one_json(row: DataFrame, path: str) -> None:
-    """A one-row table as an indented JSON document with sorted keys."""
+    """A one-row table as an indented JSON document with sorted keys, written whole."""
     data = json.loads(row.select(F.to_json(F.struct("*"))).first()[0])
-    Path(path).write_text(json.dumps(data, indent=2, sort_keys=True, ensure_ascii=False) + "\n", encoding="utf-8")
+    text = json.dumps(data, indent=2, sort_keys=True, ensure_ascii=False) + "\n"
+    write_bytes(row.sparkSession, path if "://" in path else f"file://{Path(path).resolve()}", text.encode(), keep=True)
 
 
 def append_changes(changes: DataFrame, path: str) -> None:

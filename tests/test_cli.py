@@ -60,3 +60,24 @@ def test_end_to_end(spark, tmp_path, capsys):
     (tmp_path / "seeds.json").write_text(json.dumps({"seeds": [{"id": "x", "url": "u", "owner_type": "vendor (y)", "tier": 1}]}))
     run("import-sources", tmp_path / "seeds.json", tmp_path / "seeded")
     assert spark.read.json(str(tmp_path / "seeded")).first().owner_type == "vendor"
+
+    run("lint-quality", tree)
+    assert {r["path"]: r["passes"] for r in lines(capsys)} == {**{f"skills/{n}/SKILL.md": True for n in ("maps", "tides", "bread")}, "skills/empty/skill.md": False}
+    run("shards", tmp_path / "out/catalog", tmp_path / "shards")
+    shard = spark.read.json(str(tmp_path / "shards"))
+    assert shard.count() == 3 and {r.shard for r in shard.collect()} == {"official"} and "maps" in {k for r in shard.collect() for k in r.kw}
+    assert json.loads((tmp_path / "out/stats.json").read_text())["total_skills"] == 3
+    assert spark.read.text(str(tmp_path / "out/json/records")).count() == 3
+    curated = spark.read.parquet(str(tmp_path / "out/catalog")).selectExpr("* except (layer)", "'curated' as layer", "'curated/' || name as curated_path")
+    curated.write.parquet(str(tmp_path / "curated"))
+    (tmp_path / "files/curated/maps").mkdir(parents=True)
+    (tmp_path / "files/curated/maps/LICENSE").write_text("MIT")
+    run("check-curated-gate", tmp_path / "curated", tmp_path / "files", tmp_path / "checked")
+    failing = {r["skill_id"][-5:]: r["reasons"] for r in lines(capsys)}
+    assert failing == {n: ["Missing LICENSE file in curated directory"] for n in ("tides", "bread")}
+    assert {r.name: r.status for r in spark.read.parquet(str(tmp_path / "checked")).collect()} == {"maps": "active", "tides": "review", "bread": "review"}
+    (tmp_path / "owners.jsonl").write_text('{"owner": "somebody"}')
+    (tmp_path / "verdicts.jsonl").write_text('{"id": "github.com/known/repo/skills/maps", "verdict": "malicious"}')
+    run("build", tmp_path / "crawl", tmp_path / "sources.json", tmp_path / "out2", "--previous", tmp_path / "out/catalog", "--owners", tmp_path / "owners.jsonl", "--verdicts", tmp_path / "verdicts.jsonl")
+    again = spark.read.parquet(str(tmp_path / "out2/catalog")).collect()
+    assert {(r.status, r.status_reason) for r in again} == {("dangling", "source_owner_deleted")} and {r.name for r in again if r.security.status == "malicious"} == {"maps"}

@@ -339,15 +339,108 @@ def test_seeds(spark):
 
 
 def test_change_stream(spark, tmp_path):
+    """State and changes outlive the process; a batch that is repeated gives the same files."""
+    import os
+
     from siltstone.streaming.changes import crawl_changes
 
     (tmp_path / "in").mkdir()
-    for i, lines in enumerate((['{"id":"a","content_hash":"1","license":"MIT","security":"pass"}'], ['{"id":"a","content_hash":"2","license":"MIT","security":"pass"}', '{"id":"b","content_hash":"1"}'])):
-        f = tmp_path / "in" / f"{i}.jsonl"
-        f.write_text("\n".join(lines))
-        import os
+    row = '{{"id":"{0}","content_hash":"{1}","license":"MIT","security":"pass"}}'
 
+    def arrive(i, *rows):
+        f = tmp_path / "in" / f"{i}.jsonl"
+        f.write_text("\n".join(row.format(*r) for r in rows))
         os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
-    crawl_changes(spark, f"{tmp_path}/in", "id string, content_hash string, license string, security string", f"{tmp_path}/cp", f"{tmp_path}/out")
-    got = {(r.batch, r.id, r.type) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
-    assert got == {(0, "a", "added"), (1, "a", "updated"), (1, "b", "added")}
+
+    def run(session):
+        crawl_changes(session, f"{tmp_path}/in", "id string, content_hash string, license string, security string", f"{tmp_path}/cp", f"{tmp_path}/out", slots=2)
+        return {(r.batch, r.id, r.type, r.old_hash) for r in spark.read.parquet(f"{tmp_path}/out/changes").collect()}
+
+    arrive(0, ("a", 1), ("c", 1))
+    arrive(1, ("a", 2), ("b", 1))
+    first = {(0, "a", "added", None), (0, "c", "added", None), (1, "a", "updated", "1"), (1, "b", "added", None)}
+    assert run(spark) == first
+    arrive(2, ("a", 3), ("c", 2))
+    second = first | {(2, "a", "updated", "2"), (2, "c", "updated", "1")}
+    assert run(spark.newSession()) == second
+    (tmp_path / "cp/commits/2").unlink()  # as if the last batch's commit had been lost
+    (tmp_path / "cp/commits/.2.crc").unlink(missing_ok=True)
+    assert run(spark.newSession()) == second
+
+
+def test_copies_keep_their_labels(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(5, text), (3, text), (9, text + " more"), (8, text + " more"), (1, "alone " * 30), (20, "twin text"), (21, "twin text"), (30, None)]
+    docs = spark.createDataFrame([(i, t, "unreviewed", None) for i, t in rows], "doc long, text string, tier string, seen long")
+    got = {r.doc: (r.canonical_id, r.mirror_of, r.near_duplicate_of) for r in neardup.label_copies(docs).collect()}
+    assert got == {3: (3, None, None), 5: (3, 3, None), 8: (3, 3, None), 9: (3, 3, None), 20: (20, None, None), 21: (20, 20, None)}
+    assert neardup.label_copies(docs.limit(0)).count() == 0
+
+
+def test_near_duplicates_of_documents(spark, small):
+    """All pairs of a small table by brute force: at least nine in ten are found, and no others."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("text <> ''").groupBy("text").agg(F.min("doc_id").alias("doc")).select("doc", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    counts = {i: neardup.character_counts(t) for i, t in rows}
+    maybe = [(a, b) for a, b in itertools.combinations(rows, 2) if abs(counts[a[0]] - counts[b[0]]).sum() <= (1 - neardup.NEAR + 1e-5) * (len(a[1]) + len(b[1]))]
+    expected = {(min(i, j), max(i, j)) for (i, x), (j, y) in maybe if neardup.similarity(x, y, neardup.NEAR) >= neardup.NEAR}
+    got = {(r.a, r.b) for r in neardup.verified_pairs(docs, neardup.candidate_pairs(docs)).collect()}
+    assert got <= expected and len(got) >= 0.9 * len(expected)
+
+
+def test_sinks(spark, tmp_path):
+    rows = [("b", "source", "unreviewed", [(2, 1)], None), ("a", "curated", "unreviewed", None, (4, 3)), ("c", "source", "official", [], (None, 1))]
+    df = spark.createDataFrame(rows, "id string, layer string, trust_tier string, l array<struct<z:int,y:int>>, s struct<z:int,y:int>")
+    assert io.write_catalog(df, f"{tmp_path}/whole")
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/whole/records").collect()]
+    assert lines[1] == '{"id":"b","l":[{"y":1,"z":2}],"layer":"source","trust_tier":"unreviewed"}' and '"s":{"y":3,"z":4}' in lines[0]
+    assert not io.write_catalog(df, f"{tmp_path}/part", 100)
+    assert {r.id for r in spark.read.json(f"{tmp_path}/part/records").collect()} == {"a", "c"}
+    assert '"limit": 100' in (tmp_path / "part/pointer.json").read_text()
+    io.append_changes(df.select("id"), f"{tmp_path}/log")
+    io.append_changes(df.select("id"), f"{tmp_path}/log")
+    assert spark.read.text(f"{tmp_path}/log").count() == 6
+    named = keywords.shard_names(df.select("id", "layer", F.col("trust_tier").alias("tier"), F.lit(60).cast("long").alias("bytes")), 100)
+    assert {tuple(r) for r in named.collect()} == {("a", "curated"), ("b", "community-00"), ("c", "official")}
+    io.write_shards(df.select("id", "layer").join(named, "id"), f"{tmp_path}/shards")
+    assert {p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()} == {"shard=curated", "shard=community-00", "shard=official"}
+
+
+def test_listings_and_broken_lines(spark, tmp_path):
+    (tmp_path / "own__repo.txt").write_text(f"100644 blob {'a' * 40}\tskills/x/SKILL.md\n120000 blob {'b' * 40}\tlink\nnonsense\n040000 tree {'c' * 40}\tskills\n")
+    got = {tuple(r) for r in io.read_listing(spark, str(tmp_path)).collect()}
+    assert got == {("own/repo", "100644", "blob", "a" * 40, "skills/x/SKILL.md"), ("own/repo", "120000", "blob", "b" * 40, "link"), ("own/repo", "040000", "tree", "c" * 40, "skills")}
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw/a.jsonl").write_text('{"source_id":"s","path":"p"}\nbroken\n\n{"path":"no source"}\n[1]\n')
+    assert [(r.source_id, r.path) for r in io.read_raw(spark, f"{tmp_path}/raw").collect()] == [("s", "p")]
+    assert [(r.file, r.lines) for r in io.broken_lines(spark, f"{tmp_path}/raw").collect()] == [("a.jsonl", 2)]
+
+
+def test_crawl_state_can_be_repeated(spark):
+    schema = "source_id string, head_sha string, crawled_at timestamp, skills_found int, last_error string"
+    import datetime
+
+    t = lambda d: datetime.datetime(2026, 1, d)
+    state = spark.createDataFrame([("a", "1", t(1), 3, None), ("b", "1", t(1), 3, "old"), ("c", "1", t(1), 3, None), ("d", "1", t(1), 3, None)], schema)
+    attempts = spark.createDataFrame([("a", "2", t(2), 4, None), ("b", "1", t(2), 9, None), ("c", None, t(2), None, "gone"), ("e", None, t(2), None, None)], schema)
+    once = crawl.upsert_state(state, attempts)
+    rows = {r.source_id: (r.head_sha, r.skills_found, r.last_error, r.outcome) for r in once.collect()}
+    assert rows == {"a": ("2", 4, None, "crawled"), "b": ("1", 3, "old", "skipped"), "c": ("1", 3, "gone", "failed"), "d": ("1", 3, None, "untried"), "e": (None, None, "Failed to get HEAD SHA", "failed")}
+    again = crawl.upsert_state(once.drop("outcome"), attempts)
+    assert {tuple(r) for r in again.drop("outcome").collect()} == {tuple(r) for r in once.drop("outcome").collect()}
+
+
+def test_order_statistics(spark):
+    rng = random.Random(9)
+    values = [rng.choice([7, rng.randrange(1000)]) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v int")
+    assert stats.nth(df, "v", [0, 1, 250, 499, 500, 900]) == {p: sorted(values)[p] for p in (0, 1, 250, 499)}
+    assert stats.sorted_index_percentiles(df.limit(0), "v").first().max is None
+
+
+def test_owners_and_candidates(spark):
+    sources = spark.createDataFrame([("a", "https://h.example/Own/x"), ("b", "https://h.example/gone/x.git"), ("c", "https://other.example/gone/x"), ("d", None)], "id string, url string")
+    owners = spark.createDataFrame([("own",), (None,)], "owner string")
+    assert [r.source_id for r in refs.without_owner(sources, owners, "h.example").collect()] == ["b"]
+    one, two = (spark.createDataFrame([(u, e, None) for u in us], "repo_url string, evidence string, path_hints array<string>") for us, e in ((("https://h/A/b", "https://h/c/d"), "1"), (("https://h/a/B", "https://h/e/f"), "2")))
+    assert {(r.repo_url, r.evidence) for r in refs.union_of_candidates(one, two).collect()} == {("https://h/A/b", "1"), ("https://h/c/d", "1"), ("https://h/e/f", "2")}
