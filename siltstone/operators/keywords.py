@@ -57,9 +57,13 @@ def eligible(record: Column, canonical: Column, status: Column, security: Column
     return own & F.coalesce(status == "active", F.lit(False)) & (F.coalesce(security, F.lit("")) != "malicious")
 
 
+_BLANK = r"[ \t\r\f\x0b\x1c-\x1f\x{85}\p{Z}]*"
+MARKED_OFF = rf"(?ms)^{_BLANK}---{_BLANK}$(?:.*?^{_BLANK}---{_BLANK}$|.*)"  # from a line of three dashes to the next, or to the end
+
+
 def head_or_titles(content: Column, license_class: Column) -> Column:
     """The first 400 words of the body if the license allows it, else up to 20 heading titles, joined by lines."""
-    body = F.regexp_replace(content, r"(?ms)^[ \t]*---[ \t]*$.*?^[ \t]*---[ \t]*$", "")
+    body = F.regexp_replace(content, f"(?d){MARKED_OFF}", "")
     w = F.regexp_extract_all(body, F.lit(r"([^\s\p{Z}\x1c-\x1f\x{85}]+)"), F.lit(1))
     titles = F.filter(F.transform(F.filter(F.split(content, "\n"), lambda x: x.startswith("#")), lambda x: F.trim(F.regexp_replace(x, r"^#+\s*", ""))), lambda x: x != "")
     return F.when(license_class.isin("allow", "conditional"), F.array_join(F.slice(w, 1, 400), " ")).otherwise(F.array_join(F.slice(titles, 1, 20), "\n"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.operators import crawl, licenses
+from siltstone.storage import materialize
 
 
 def raw_records(files: DataFrame, crawled_at: str) -> DataFrame:
@@ -31,3 +32,24 @@ def raw_records(files: DataFrame, crawled_at: str) -> DataFrame:
         F.when(F.col("lowercase"), F.array(F.lit("filename-lowercase"))).otherwise(F.array().cast("array<string>")).alias("conformance_errors"),
         F.lit(crawled_at).alias("crawled_at"), "commit_sha",
     )
+
+
+def crawl_sources(files: DataFrame, attempts: DataFrame, state: DataFrame, sources: DataFrame, crawled_at: str, force: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(raw records, new state) of one crawl over all sources; to be repeated without harm.
+
+    ``attempts`` (source_id, head_sha, crawled_at, last_error): one a source, a
+    failed one without head_sha.  Sources whose head the state already has are
+    skipped (unless forced); of the others' ``files`` (source_id, commit_sha,
+    path, content, mode) those count that are of the attempted head and that the
+    source's patterns let through.  ``state``: see ``crawl.upsert_state``.
+    """
+    known = state.select("source_id", F.col("head_sha").alias("_seen"))
+    heads = attempts.where("head_sha is not null").join(known, "source_id", "left")
+    due = heads.where(F.lit(force) | ~F.col("head_sha").eqNullSafe(F.col("_seen"))).select("source_id", F.col("head_sha").alias("commit_sha"))
+    used = crawl.select_paths(files.join(due, ["source_id", "commit_sha"]), sources)
+    raw = materialize(raw_records(used, crawled_at), "raw")
+    found = raw.groupBy("source_id").agg(F.count("*").cast("int").alias("_n"))
+    counted = attempts.join(found, "source_id", "left").select(
+        "source_id", "head_sha", "crawled_at", F.when(F.col("head_sha").isNotNull(), F.coalesce("_n", F.lit(0))).alias("skills_found"), "last_error"
+    )
+    return raw, crawl.upsert_state(state, counted, force)

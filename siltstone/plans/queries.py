@@ -652,12 +652,12 @@ def source_violations(spark, d):
 # ---------------------------------------------------------------- change capture
 
 _PREV = "(SELECT DISTINCT skill_id AS id, content_hash, license, security FROM skill_metadata)"
-_NEXT = "(SELECT DISTINCT id, hashes.content_hash AS content_hash, license.spdx AS license, security.status AS security FROM skills WHERE layer IS NOT NULL)"
+_NEXT = "(SELECT DISTINCT id, hashes.content_hash AS content_hash, license.spdx AS license, security.status AS security FROM skills)"
 
 
 def _snapshots(spark, d):
     prev = table(spark, d, "skill_metadata").select(F.col("skill_id").alias("id"), "content_hash", "license", "security").distinct()
-    new = table(spark, d, "skills").where("layer is not null").select(
+    new = table(spark, d, "skills").select(
         "id", F.col("hashes.content_hash").alias("content_hash"), F.col("license.spdx").alias("license"), F.col("security.status").alias("security")
     )
     return prev, new.distinct()
@@ -1005,7 +1005,10 @@ def body_titles(spark, d):
     return docs.select("doc_id", keywords.head_or_titles(F.col("text"), F.lit("deny")).alias("head"))
 
 
-@query()
+@query(
+    rf"""SELECT doc_id, array_to_string((regexp_extract_all(regexp_replace(text, '{keywords.MARKED_OFF}', '', 'g'), '[^\s\p{{Z}}\x0b\x1c-\x1f\x{{85}}]+'))[1:400], ' ') AS head
+    FROM documents WHERE text IS NOT NULL"""
+)
 def body_head(spark, d):
     docs = table(spark, d, "documents").where("text is not null")
     return docs.select("doc_id", keywords.head_or_titles(F.col("text"), F.lit("allow")).alias("head"))
@@ -1097,6 +1100,16 @@ def search_ranked(spark, d):
     return found.drop("why_matched")
 
 
+@query(
+    f"""SELECT rank, id, CASE WHEN contains(lower(name), {_quote(QUERY)}) THEN 'name,desc' ELSE 'desc' END AS fields, {_quote(",".join(QUERY.split()[:5]))} AS terms, rank AS bm25_rank FROM {_RANKED} WHERE rank <= 5"""
+)
+def search_why(spark, d):
+    """Why each of the ranked results matched."""
+    found = search.search(_index(spark, d, _TWO), _meta(spark, d), QUERY)
+    why = F.col("why_matched")
+    return found.select("rank", "id", F.array_join(why.fields, ",").alias("fields"), F.array_join(why.terms, ",").alias("terms"), why.bm25_rank.alias("bm25_rank"))
+
+
 @query("SELECT skill_id, name, license FROM (SELECT DISTINCT skill_id, name, license FROM skill_metadata) ORDER BY skill_id LIMIT 1")
 def point_lookup(spark, d):
     """One record by its key, here the smallest."""

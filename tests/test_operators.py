@@ -444,3 +444,45 @@ def test_owners_and_candidates(spark):
     assert [r.source_id for r in refs.without_owner(sources, owners, "h.example").collect()] == ["b"]
     one, two = (spark.createDataFrame([(u, e, None) for u in us], "repo_url string, evidence string, path_hints array<string>") for us, e in ((("https://h/A/b", "https://h/c/d"), "1"), (("https://h/a/B", "https://h/e/f"), "2")))
     assert {(r.repo_url, r.evidence) for r in refs.union_of_candidates(one, two).collect()} == {("https://h/A/b", "1"), ("https://h/c/d", "1"), ("https://h/e/f", "2")}
+
+
+def test_crawl_of_sources(spark):
+    import datetime
+
+    from siltstone.plans.ingest import crawl_sources
+
+    at = datetime.datetime(2026, 1, 2)
+    skill = "---\nname: x\ndescription: y\n---\n"
+    files = spark.createDataFrame(
+        [("a", "2", "skills/x/SKILL.md", skill, "100644"), ("a", "2", "tests/y/SKILL.md", skill, "100644"), ("a", "1", "old/SKILL.md", skill, "100644"), ("b", "1", "SKILL.md", skill, "100644"), ("a", "2", "skills/z/SKILL.md", "x", "120000")],
+        "source_id string, commit_sha string, path string, content string, mode string",
+    )
+    schema = "source_id string, head_sha string, crawled_at timestamp, skills_found int, last_error string"
+    state = spark.createDataFrame([("b", "1", at, 1, None), ("c", "1", at, 1, None)], schema)
+    attempts = spark.createDataFrame([("a", "2", at, None), ("b", "1", at, None), ("c", None, at, "gone")], "source_id string, head_sha string, crawled_at timestamp, last_error string")
+    sources = spark.createDataFrame([("a", [], ["tests/"]), ("b", None, None), ("c", None, None)], "id string, include_patterns array<string>, exclude_patterns array<string>")
+    for _ in range(2):
+        raw, new = crawl_sources(files, attempts, state, sources, "now")
+        assert [(r.source_id, r.path) for r in raw.collect()] == [("a", "skills/x/SKILL.md")]
+        assert {(r.source_id, r.skills_found, r.last_error, r.outcome) for r in new.collect()} == {("a", 1, None, "crawled"), ("b", 1, None, "skipped"), ("c", 1, "gone", "failed")}
+    raw, new = crawl_sources(files, attempts, new.drop("outcome"), sources, "now")
+    assert not raw.count() and {r.outcome for r in new.collect()} == {"skipped", "failed"}
+    assert {r.source_id for r in crawl_sources(files, attempts, state, sources, "now", force=True)[0].collect()} == {"a", "b"}
+
+
+def test_body_heads(spark):
+    """Lines of three dashes switch the body off and on; one that isn't closed ends it."""
+    texts = ["---\r\nname: x\r\n---\r\nbody\r\ntext", "a\n --- \nb\n---\nc", "a\n---\nb", "---- a\n--- b", "---\nx\n---\ny\n---\nz", "", "　---\nq\n--- \nend"]
+
+    def expected(text):
+        on, kept = True, []
+        for line in text.split("\n"):
+            if line.strip() == "---":
+                on = not on
+            elif on:
+                kept.append(line)
+        return " ".join("\n".join(kept).split()[:400])
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.h for r in df.select("i", keywords.head_or_titles(F.col("t"), F.lit("allow")).alias("h")).collect()}
+    assert got == {i: expected(t) for i, t in enumerate(texts)}
