@@ -146,6 +146,17 @@ def latest_state(state: DataFrame) -> DataFrame:
     )
 
 
+def probed(sources: DataFrame, heads: DataFrame) -> DataFrame:
+    """(id, head_sha, status) of sources by what probing their repositories gave (``heads``: source_id, head_sha, at).
+
+    The newest answer of 40 hexadecimal digits counts; a source without one is
+    missing.  Probing itself is done outside: answers are a table.
+    """
+    good = heads.where(F.col("head_sha").rlike("^[0-9a-f]{40}$"))
+    newest = good.groupBy(F.col("source_id").alias("id")).agg(F.max_by("head_sha", F.struct("at", "head_sha")).alias("head_sha"))
+    return sources.select("id").distinct().join(newest, "id", "left").withColumn("status", F.when(F.col("head_sha").isNull(), "missing").otherwise("active"))
+
+
 def upsert_state(state: DataFrame, attempts: DataFrame, force: bool = False) -> DataFrame:
     """The crawl state after one attempt per source; (source_id, head_sha, crawled_at, skills_found, last_error, outcome).
 

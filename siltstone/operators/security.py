@@ -176,3 +176,21 @@ def security_field(ran_at: str, commit: Column) -> Column:
         F.array().cast("array<struct<reference:string,exists:boolean,critical:boolean>>").alias("external_refs"),
         F.expr("cast(map() as map<string,string>)").alias("upstream_verdicts"), F.expr(NO_TAKEDOWN).alias("takedown"),
     )
+
+
+def with_external(records: DataFrame, record: str, layer: str, status_column: str, external: DataFrame) -> DataFrame:
+    """``records`` with engines and findings of external scanners, and the status they lead to.
+
+    Scanners run outside; ``external`` (record, engine, findings) is what they
+    reported, one row a record and engine (repeated ones count once).  A finding
+    puts a curated record that passed under review; elsewhere findings only tag.
+    """
+    per = external.select(F.col("record").alias("_record"), "engine", "findings").where("engine is not null").distinct().groupBy("_record").agg(
+        F.array_sort(F.collect_set("engine")).alias("engines"), F.coalesce(F.sum("findings"), F.lit(0)).alias("findings")  # a handful of engines
+    )
+    joined = records.join(per, records[record] == per["_record"], "left").drop("_record")
+    found = F.coalesce("findings", F.lit(0))
+    return joined.withColumns({
+        "engines": F.coalesce("engines", F.array().cast("array<string>")), "findings": found.cast("long"),
+        "status_after": F.when((F.col(layer) == "curated") & (F.col(status_column) == "pass") & (found > 0), "review").otherwise(F.col(status_column)),
+    })

@@ -426,6 +426,22 @@ def _risk(spark, d):
     return security.scan(docs, "doc_id", "text", "first_line", "scripts", "layer", "verdict")
 
 
+@query(
+    """WITH e AS (SELECT DISTINCT skill_id, security AS engine, CASE WHEN security IN ('warn', 'review', 'malicious') THEN 1 ELSE 0 END AS findings FROM skill_metadata WHERE security IS NOT NULL),
+    p AS (SELECT skill_id, array_to_string(list_sort(list(DISTINCT engine)), ',') AS engines, sum(findings)::BIGINT AS findings FROM e GROUP BY 1),
+    s AS (SELECT DISTINCT id, layer, security.status AS status FROM skills)
+    SELECT s.id, coalesce(engines, '') AS engines, coalesce(findings, 0) AS findings, CASE WHEN layer = 'curated' AND status = 'pass' AND coalesce(findings, 0) > 0 THEN 'review' ELSE status END AS status_after
+    FROM s LEFT JOIN p ON s.id = p.skill_id"""
+)
+def external_scans(spark, d):
+    """Records with what scanners outside reported; the flat index's verdicts stand for them, each wording an engine."""
+    finding = F.when(F.col("security").isin("warn", "review", "malicious"), 1).otherwise(0)
+    external = table(spark, d, "skill_metadata").select(F.col("skill_id").alias("record"), F.col("security").alias("engine"), finding.alias("findings"))
+    records = table(spark, d, "skills").select("id", "layer", F.col("security.status").alias("status")).distinct()
+    found = security.with_external(records, "id", "layer", "status", external)
+    return found.select("id", F.array_join("engines", ",").alias("engines"), "findings", "status_after")
+
+
 @query(f"SELECT doc_id, risk_level, status FROM {_RISK}")
 def risk_status(spark, d):
     """Of each text, its first line taken as its description: risk and status, by what is found and by the upstream verdict."""
@@ -722,6 +738,16 @@ def crawl_rollup(spark, d):
     return crawl.rollup(table(spark, d, "crawl_state"))
 
 
+@query(
+    """SELECT s.id, h.head_sha, CASE WHEN h.head_sha IS NULL THEN 'missing' ELSE 'active' END AS status FROM (SELECT DISTINCT id FROM sources) s LEFT JOIN
+    (SELECT source_id, arg_max(head_sha, (crawled_at, head_sha)) AS head_sha FROM crawl_state WHERE regexp_full_match(head_sha, '[0-9a-f]{40}') GROUP BY 1) h ON s.id = h.source_id"""
+)
+def sources_probed(spark, d):
+    """Sources whose repository answered, and its newest head; the others are missing."""
+    heads = table(spark, d, "crawl_state").select("source_id", "head_sha", F.col("crawled_at").alias("at"))
+    return crawl.probed(table(spark, d, "sources"), heads)
+
+
 _SINCE = "2026-01-01 00:00:00"
 _UPSERT = f"""WITH a AS (SELECT DISTINCT source_id, head_sha, crawled_at, skills_found, last_error FROM crawl_state),
     o AS (SELECT source_id, arg_max(head_sha, (crawled_at, head_sha)) FILTER (head_sha IS NOT NULL) AS head_sha, max(crawled_at) FILTER (head_sha IS NOT NULL) AS crawled_at,
