@@ -75,9 +75,9 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Survivors of license and security by crawl time alone, all tiers alike; skills of unknown crawls have no time."""
-    skills = _read(spark, sf_dir, "skills").select(F.col("id").alias("skill_id"), F.lower("source.commit").alias("sha"))
-    seen = skills.join(_crawls(spark, sf_dir), "sha").groupBy("skill_id").agg(F.max("crawled").alias("at"))
+    """Survivors of license and security by last change alone, all tiers alike; half of the skills tell no last change."""
+    changed = _read(spark, sf_dir, "skills").select(F.col("id").alias("skill_id"), C.moment(F.col("last_changed")).alias("at"))
+    seen = changed.groupBy("skill_id").agg(F.max("at").alias("at"))
     found = survivors(
         _p2_records(spark, sf_dir, seen), C.skill_key(F.col("canonical_id")), F.col("skill_id"), F.lit(0), F.col("at"),
         [Field("license", C.NO_LICENSE), Field("security", C.NO_SCAN)],

@@ -61,8 +61,7 @@ P2 = f"""WITH seen AS (SELECT id AS skill_id, max({_micros('first_seen')}) AS ts
 SELECT g AS canonical_id, field_name, skill_id FROM (SELECT *, row_number() OVER (PARTITION BY g, field_name ORDER BY tier, ts DESC NULLS LAST, skill_id) AS rn FROM u) WHERE rn = 1"""
 
 # values by their last time in each group, one after the other; majority precedences; among untimed records only, the value with the fewest after it
-P2_CURRENCY = f"""WITH crawls AS (SELECT lower(head_sha) AS sha, min(epoch_us(crawled_at)) AS ts FROM crawl_state WHERE head_sha IS NOT NULL AND crawled_at IS NOT NULL GROUP BY 1),
-  seen AS (SELECT id AS skill_id, max(ts) AS ts FROM skills JOIN crawls ON lower(source.commit) = sha GROUP BY id),
+P2_CURRENCY = f"""WITH seen AS (SELECT id AS skill_id, max({_micros('last_changed')}) AS ts FROM skills GROUP BY id),
   m AS (SELECT DISTINCT skill_id, {_key('canonical_id')} AS g, license, security FROM skill_metadata WHERE canonical_id IS NOT NULL),
   k AS (SELECT m.*, ts FROM m LEFT JOIN seen USING (skill_id) WHERE g IN (SELECT g FROM m GROUP BY g HAVING count(DISTINCT skill_id) > 1)),
   u AS (SELECT g, 'license' AS f, skill_id, ts, lower(trim(license)) AS v FROM k WHERE {_usable('license', C.NO_LICENSE)} UNION ALL SELECT g, 'security', skill_id, ts, lower(trim(security)) FROM k WHERE {_usable('security', C.NO_SCAN)}),
