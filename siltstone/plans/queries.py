@@ -16,7 +16,7 @@ from siltstone.functions import rules as R
 from siltstone.functions import text as T
 from siltstone.operators import changes, crawl, dedup, frontmatter, gates, keywords, licenses, neardup, quality, refs, search, security, stats
 from siltstone.plans import catalog
-from siltstone.plans.samples import CURATED_FILES, GATE_RECORD, GATE_SAMPLES, SAMPLES
+from siltstone.plans.samples import CURATED_FILES, GATE_RECORD, GATE_SAMPLES, LICENSE_SAMPLES, SAMPLES
 from siltstone.sources import io
 from siltstone.storage import spread
 from siltstone.streaming.changes import event_windows
@@ -302,6 +302,64 @@ def nearest_license(spark, d):
     return licenses.nearest_license_file(table(spark, d, "repo_files").select("repo", "path"), _package_dirs(spark, d))
 
 
+_PACKAGES = (
+    "(SELECT DISTINCT id, license.declared AS declared, NULL::VARCHAR AS own_text, CASE WHEN license.evidence = 'skill-file' THEN source.path || '/LICENSE' END AS own_file, NULL::VARCHAR AS near_text, "
+    "CASE WHEN license.evidence = 'repo-file' THEN 'LICENSE' END AS near_file, NULL::VARCHAR AS readme FROM skills UNION ALL SELECT * FROM (VALUES "
+    + ", ".join("(" + ", ".join("NULL" if x is None else _quote(x) for x in row) + ")" for row in LICENSE_SAMPLES) + "))"
+)
+
+
+def _bare_sql(x: str) -> str:
+    return rf"""regexp_replace(regexp_replace({x}, '^\s+|\s+$', '', 'g'), '^["'']+|["'']+$', '', 'g')"""
+
+
+def _spdx_sql(x: str) -> str:
+    ids = _IDS.format(x)
+    known = f"[{_values((*R.ALLOW, *R.CONDITIONAL, *R.DENY))}]"
+    return f"coalesce(len({ids}) > 0 AND len(list_filter({ids}, lambda i: NOT list_contains({known}, i) AND NOT starts_with(i, 'LicenseRef-'))) = 0, false)"
+
+
+def _text_sql(text: str, file: str) -> str:
+    return f"coalesce({_FINGER.replace('content', text)}, 'LicenseRef-' || split_part({file}, '/', 1) || '-terms')"
+
+
+_some_sql = lambda x, names: f"list_has_any({_IDS.format(x)}, [{_values(names)}])"
+_RESOLVED = rf"""(WITH a AS (SELECT *, trim(coalesce(declared, '')) AS dec, lower(trim(coalesce(declared, ''))) AS low FROM {_PACKAGES}),
+    b AS (SELECT *, ((regexp_matches(low, 'licen[sc]e|copying') AND regexp_matches(low, 'see|in|has|complete terms')) OR regexp_matches(upper(dec), '^(?:LICEN[SC]E|COPYING)(?:\.(?:TXT|MD|RST))?$'))
+      AND regexp_matches(low, '(?:licen[sc]e|copying)\.(?:txt|md|rst)|^(?:licen[sc]e|copying)$|\bsee\b') AS refers, {_bare_sql('dec')} AS b, {_bare_sql('readme')} AS rb FROM a),
+    c AS (SELECT *, {_NORMAL.replace("declared <> ''", "dec <> ''")} AS plain, {_NORMAL.replace("declared <> ''", "readme <> ''").replace("(b, ", "(rb, ").replace("CASE b ", "CASE rb ").replace(", b) END", ", rb) END")} AS plain_readme FROM b),
+    e AS (SELECT *, CASE WHEN starts_with(dec, 'Proprietary') THEN 1 WHEN refers AND own_file IS NOT NULL THEN 2 WHEN refers THEN 3 WHEN dec <> '' AND {_spdx_sql('plain')} THEN 4 WHEN dec <> '' THEN 5
+      WHEN own_file IS NOT NULL THEN 6 WHEN near_file IS NOT NULL THEN 7 WHEN {_spdx_sql('plain_readme')} THEN 8 ELSE 9 END AS k FROM c),
+    f AS (SELECT *, CASE k WHEN 1 THEN 'LicenseRef-Proprietary' WHEN 2 THEN {_text_sql('own_text', 'own_file')} WHEN 3 THEN 'NOASSERTION' WHEN 4 THEN plain WHEN 5 THEN 'LicenseRef-Unrecognized' WHEN 6 THEN {_text_sql('own_text', 'own_file')}
+      WHEN 7 THEN {_text_sql('near_text', 'near_file')} WHEN 8 THEN plain_readme ELSE 'NOASSERTION' END AS spdx FROM e),
+    g AS (SELECT *, {_class_sql('spdx', _IDS.format('spdx'))} AS kind FROM f)
+    SELECT id, spdx, CASE WHEN k IN (1, 3, 4, 5) THEN 'frontmatter' WHEN k IN (2, 6) THEN 'skill-file' WHEN k = 7 AND strpos(near_file, '/') = 0 THEN 'repo-file' WHEN k = 7 THEN 'ancestor-file' WHEN k = 8 THEN 'readme' ELSE 'none' END AS evidence,
+      CASE WHEN k IN (2, 6) THEN own_file WHEN k = 7 THEN near_file END AS file, CASE WHEN k = 8 THEN 'unknown' ELSE kind END AS license_class,
+      k = 8 OR CASE WHEN spdx = 'LicenseRef-Proprietary' THEN false WHEN kind = 'unknown' OR starts_with(spdx, 'LicenseRef-') THEN true WHEN kind = 'deny' THEN {_some_sql('spdx', R.CONDITIONAL)} OR {_some_sql('spdx', R.ALLOW)}
+        WHEN kind = 'conditional' THEN {_some_sql('spdx', R.ALLOW)} ELSE false END AS needs_review FROM g)"""
+
+
+@query(f"SELECT * FROM {_RESOLVED}")
+def license_resolve(spark, d):
+    """The license of each record by what its row tells, and of samples for every branch of the cascade."""
+    null = F.lit(None).cast("string")
+    skills = table(spark, d, "skills").select(
+        "id", F.col("license.declared").alias("declared"), null.alias("own_text"), F.when(F.col("license.evidence") == "skill-file", F.concat("source.path", F.lit("/LICENSE"))).alias("own_file"),
+        null.alias("near_text"), F.when(F.col("license.evidence") == "repo-file", "LICENSE").alias("near_file"), null.alias("readme"),
+    ).distinct()
+    samples = spark.createDataFrame(list(LICENSE_SAMPLES), "id string, declared string, own_text string, own_file string, near_text string, near_file string, readme string")
+    return licenses.resolve(skills.unionByName(samples)).select("id", "spdx", "evidence", "file", "license_class", "needs_review")
+
+
+@query(
+    r"""SELECT repo, nullif(trim(regexp_extract(content, '(?im)^#+[ \t]*license[ \t]*\r?\n(?:[ \t]*\r?\n)*([^#\r\n][^\r\n]*)', 1)), '') AS line FROM (SELECT repo, arg_min(content, CASE path WHEN 'README.md' THEN 1
+    WHEN 'readme.md' THEN 2 WHEN 'README' THEN 3 ELSE 4 END) AS content FROM repo_files WHERE path IN ('README.md', 'readme.md', 'README', 'README.rst') AND content IS NOT NULL GROUP BY repo)"""
+)
+def readme_licenses(spark, d):
+    """The first line of the license section of each repository's README."""
+    return io.readme(table(spark, d, "repo_files")).select("repo", licenses.readme_license(F.col("content")).alias("line"))
+
+
 @query()
 def license_cascade(spark, d):
     """Declared license, own file, nearest file above, README: the license of each package."""
@@ -738,6 +796,18 @@ def crawl_rollup(spark, d):
     return crawl.rollup(table(spark, d, "crawl_state"))
 
 
+@query(
+    """SELECT id, url, split_part(split_part(trim(owner_type), ' ', 1), '/', 1) AS owner_type, tier, 'active' AS status, '2026-01-01' AS added_at, false AS verified,
+    nullif(concat_ws(' | ', CASE WHEN coalesce(notes, '') <> '' THEN 'Pattern: ' || notes END, CASE WHEN coalesce(policy, '') NOT IN ('', 'allow') THEN 'Curated policy: ' || policy END), '') AS notes FROM sources"""
+)
+def seeds_import(spark, d):
+    """Sources as seed entries, imported again."""
+    seeds = table(spark, d, "sources").select(
+        "id", "url", "owner_type", "tier", F.col("notes").alias("pattern_notes"), F.col("policy").alias("curated_policy"), F.lit(None).cast("string").alias("curated_eligible_note")
+    )
+    return io.seeds_to_sources(seeds, "2026-01-01").drop("last_crawled_commit", "last_crawled_at")
+
+
 @query(
     """SELECT s.id, h.head_sha, CASE WHEN h.head_sha IS NULL THEN 'missing' ELSE 'active' END AS status FROM (SELECT DISTINCT id FROM sources) s LEFT JOIN
     (SELECT source_id, arg_max(head_sha, (crawled_at, head_sha)) AS head_sha FROM crawl_state WHERE regexp_full_match(head_sha, '[0-9a-f]{40}') GROUP BY 1) h ON s.id = h.source_id"""
@@ -1064,6 +1134,17 @@ def _index(spark, d, fields, stems=False):
     return search.build_index(_meta(spark, d), "skill_id", fields, stems)
 
 
+_WORDS_OF = r"regexp_extract_all(lower(coalesce({}, '')), '[\p{{L}}\p{{N}}_]+')"
+
+
+@query(
+    f"""SELECT id, term, sum(w) AS tf FROM (SELECT id, unnest({_WORDS_OF.format('name')}) AS term, 3.0::DOUBLE AS w FROM {_META} UNION ALL SELECT id, unnest({_WORDS_OF.format('description')}), 2.0::DOUBLE FROM {_META}) GROUP BY 1, 2"""
+)
+def index_postings(spark, d):
+    """The postings that the search index is written from."""
+    return _index(spark, d, {"name": 3.0, "description": 2.0}).postings.select(F.col("doc").alias("id"), "term", "tf")
+
+
 @query(f"SELECT id, round(score, 6) AS score FROM {_bm25_sql(_META, {'description': 1.0}, QUERY.split())}")
 def bm25_unstemmed(spark, d):
     found = _index(spark, d, {"description": 1.0}).matches(search.query_terms(QUERY))

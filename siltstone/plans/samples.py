@@ -96,3 +96,31 @@ GATE_RECORD = (
     "security struct<status:string,scans:array<struct<engine:string,ioc_patterns:array<struct<name:string,severity:string>>>>,"
     "external_refs:array<struct<reference:string,exists:boolean,critical:boolean>>>, status string, quality struct<smells:array<string>>, layer string"
 )
+
+# Packages by what is known of their license: id, declared, text and path of their own license file, of the nearest above, line of the README.
+_MIT = "Permission is hereby granted, free of charge, to any person\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY of any kind"
+_BSD = "Redistribution and use in source and binary forms ... this software is provided by the copyright holders"
+LICENSE_SAMPLES = (
+    ("declared", "MIT License", None, None, None, None, None),
+    ("declared-expression", "MIT OR GPL-3.0-only", None, None, None, None, None),
+    ("declared-and", " Apache-2.0 AND MPL-2.0 ", None, None, None, None, None),
+    ("declared-address", "https://opensource.org/licenses/MIT", None, None, None, None, None),
+    ("declared-unknown", "My Own License", _MIT, "skills/x/LICENSE", None, None, None),
+    ("proprietary", "Proprietary. LICENSE.txt has complete terms", _MIT, "skills/x/LICENSE.txt", None, None, None),
+    ("reference", "LicenseRef-House", None, None, None, None, None),
+    ("refers", "See LICENSE.txt", _MIT, "skills/x/LICENSE.txt", None, None, None),
+    ("refers-bare", "LICENSE", _BSD, "LICENSE", None, None, None),
+    ("refers-to-nothing", "Complete terms in LICENSE.txt", None, None, _MIT, "LICENSE", None),
+    ("refers-unknown-text", "see COPYING", "house terms", "skills/x/COPYING", None, None, None),
+    ("own-file", None, _BSD + "\nNeither the name", "skills/x/LICENSE", _MIT, "LICENSE", "Apache-2.0"),
+    ("own-file-without-text", "", None, "skills/x/LICENSE", None, None, None),
+    ("near-root", "", None, None, _MIT, "LICENSE", "Apache-2.0"),
+    ("near-ancestor", None, None, None, "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", "skills/LICENSE", None),
+    ("near-unknown", None, None, None, "terms of the house", "skills/LICENSE.md", "MIT"),
+    ("readme", None, None, None, None, None, "MIT License"),
+    ("readme-unknown", None, None, None, None, None, "ask us"),
+    ("nothing", None, None, None, None, None, None),
+    ("noassertion", "NOASSERTION", None, None, None, None, None),
+    ("deny", "GPL-3.0", None, None, None, None, None),
+    ("with", "GPL-2.0-only WITH Classpath-exception-2.0", None, None, None, None, None),
+)
