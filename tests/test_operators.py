@@ -3,7 +3,9 @@
 import itertools
 import random
 import sqlite3
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -388,6 +390,39 @@ def test_near_duplicates_of_documents(spark, small):
     assert got <= expected and len(got) >= 0.9 * len(expected)
 
 
+def test_near_duplicates_without_a_common_band(spark):
+    """Two texts of 972 and 1,097 characters, 0.811 alike by their sorted words, which share no MinHash band."""
+    path = Path("/root/testdata/sf0.1/documents.parquet")
+    if not path.exists():
+        pytest.skip("no test tables here")
+    docs = spark.read.parquet(str(path)).where("doc_id in (398, 8699)").select(F.col("doc_id").alias("doc"), T.body(F.col("text")).alias("text"))
+    assert [tuple(r)[:2] for r in neardup.verified_pairs(docs, neardup.candidate_pairs(docs)).collect()] == [(398, 8699)]
+    assert {tuple(sorted(r)) for r in neardup.linked_pairs(docs).collect()} == {(398, 8699)}
+
+
+def test_groups_by_few_comparisons(spark, monkeypatch):
+    """Links are as few as groups need, and the groups those of all pairs, in the driver and distributed; comparing in a band is exact."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(60)]
+    texts = {k: " ".join([*words[:25], *rng.sample(words, 3)]) for k in range(12)}
+    pairs = pd.DataFrame([(a, b, a, b, 0.0) for a, b in itertools.combinations(texts, 2)], columns=["a", "b", "ra", "rb", "likeness"])
+    asked = []
+    ratio = neardup.indel_ratio
+    monkeypatch.setattr(neardup, "indel_ratio", lambda *x: asked.append(x) or ratio(*x))
+    assert len(neardup.links(pairs, texts, 0.77)) == len(asked) == 11
+    edges = spark.createDataFrame([(1, 5), (7, 5), (7, 2), (8, 9)], "a long, b long")
+    expected = {1: 1, 5: 1, 7: 1, 2: 1, 8: 8, 9: 8}
+    for few in (10, 0):
+        monkeypatch.setattr(neardup, "FEW", few)
+        assert {r.doc: r.root for r in neardup.components(edges).collect()} == expected
+    monkeypatch.setattr(neardup, "STEP", 7)
+    for _ in range(200):
+        a, b = ("".join(rng.choices("abc", k=rng.randint(0, 40))) for _ in "xy")
+        length = neardup.lcs_length(a, b)
+        for needed in (length - 1, length, length + 1):
+            assert (got := neardup.lcs_length(a, b, needed)) == length or got < needed > length
+
+
 def test_sinks(spark, tmp_path):
     rows = [("b", "source", "unreviewed", [(2, 1)], None), ("a", "curated", "unreviewed", None, (4, 3)), ("c", "source", "official", [], (None, 1))]
     df = spark.createDataFrame(rows, "id string, layer string, trust_tier string, l array<struct<z:int,y:int>>, s struct<z:int,y:int>")
