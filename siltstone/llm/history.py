@@ -24,6 +24,9 @@ Then the batch's hashes are appended.  A batch is committed by one marker, the
 last file written; what an unfinished batch left is removed when the history is
 next opened or asked, and a batch that is already committed gives its stored
 result, so a batch can be repeated after any failure.  One writer at a time.
+
+No side of a join goes through the driver, not even one small enough to be
+broadcast: of those a check would make dozens.
 """
 
 from __future__ import annotations
@@ -53,6 +56,11 @@ RESULT = "item string, at bigint, copied boolean, coverage double, covered boole
 NO_TEXT = 1 << 30  # words of a text that is near nothing
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join that isn't broadcast, however small it is."""
+    return df.hint("merge")
+
+
 def paragraphs(text: Column) -> Column:
     """The words of each paragraph: lines and sentences with a word in them."""
     pieces = F.split(F.coalesce(text, F.lit("")), r"[\r\n]+|(?<=[.!?])\s+")
@@ -97,6 +105,7 @@ class History:
             path = f"{storage.shared_dir(spark)}/history-{uuid.uuid4().hex}"
             storage.register_path(spark, path)
         self.path, self.session_name = path.rstrip("/"), f"history_{uuid.uuid4().hex}"
+        self._seen: tuple[int, list[int]] | None = None  # generation and batches that the session's tables have for certain
         if not storage.exists(spark, f"{self.path}/history.json"):
             s = settings or Settings()
             s.buckets = s.buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16)
@@ -118,7 +127,7 @@ class History:
         return f"{self.session_name}_{self.generation}_{name}"
 
     def _recover(self) -> None:
-        """Read which batches are committed; remove what others left."""
+        """Read which batches are committed; remove what others left.  The session's tables are made again if they may differ."""
         numbers = {int(n.split(".")[0]): n for n in storage.names(self.spark, f"{self.path}/commits")}
         self.committed = {storage.read_bytes(self.spark, f"{self.path}/commits/{f}").decode(): n for n, f in sorted(numbers.items())}
         for generation in storage.names(self.spark, self.path):
@@ -128,6 +137,17 @@ class History:
             for folder in storage.names(self.spark, self._folder(name)):
                 if folder.startswith("batch=") and folder != "batch=-1" and int(folder[6:]) not in numbers:
                     storage.remove(self.spark, f"{self._folder(name)}/{folder}")
+        if self._seen != (self.generation, sorted(numbers)):
+            self._make_tables()
+            self._seen, self._n_bags = (self.generation, sorted(numbers)), None if numbers else 0  # None: not counted yet
+        self.number = max(numbers, default=-1) + 1
+        self.refining = None
+        for file in sorted(storage.names(self.spark, f"{self.path}/refining"), key=lambda f: int(f.split(".")[0])):
+            if int(file.split(".")[0]) in numbers:
+                data = np.load(io.BytesIO(storage.read_bytes(self.spark, f"{self.path}/refining/{file}")))
+                self.refining = N.Refining(data["keys"], data["frequent"], data["place"])
+
+    def _make_tables(self) -> None:
         for name, (columns, key) in TABLES.items():
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
             self.spark.sql(
@@ -136,12 +156,6 @@ class History:
             )
             if storage.exists(self.spark, self._folder(name)):
                 self.spark.catalog.recoverPartitions(self._name(name))
-        self.number = max(numbers, default=-1) + 1
-        self.refining = None
-        for file in sorted(storage.names(self.spark, f"{self.path}/refining"), key=lambda f: int(f.split(".")[0])):
-            if int(file.split(".")[0]) in numbers:
-                data = np.load(io.BytesIO(storage.read_bytes(self.spark, f"{self.path}/refining/{file}")))
-                self.refining = N.Refining(data["keys"], data["frequent"], data["place"])
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.table(self._name(name))
@@ -189,10 +203,12 @@ class History:
         batch_id = batch_id or uuid.uuid4().hex
         self._recover()
         if batch_id not in self.committed:
+            (generation, before), self._seen = self._seen, None  # a batch that breaks off leaves the tables unknown
             found = self._checked(batch)
             found.write.option("compression", "zstd").parquet(f"{self._folder('results')}/batch={self.number}")
             self._refine()
             storage.write_bytes(self.spark, f"{self.path}/commits/{self.number}.txt", batch_id.encode(), keep=True)
+            self._seen = (generation, [*before, self.number])
             self._recover()
         return self.spark.read.schema(RESULT).parquet(f"{self._folder('results')}/batch={self.committed[batch_id]}")
 
@@ -219,23 +235,23 @@ class History:
         covered = self._covered(batch, t)
         keys = ["item", "at"]
         routed = (
-            batch.select(*keys, "bag_id").distinct().join(copied.withColumn("copied", F.lit(True)), keys, "left").join(covered, keys, "left")
+            batch.select(*keys, "bag_id").join(merged(copied.withColumn("copied", F.lit(True))), keys, "left").join(merged(covered), keys, "left")
             .select(*keys, "bag_id", *(F.coalesce(c, F.lit(d)).alias(c) for c, d in (("copied", False), ("coverage", 0.0), ("covered", False))))
         )
         routed = materialize(routed, "routed")
         near = self._near(batch, routed).withColumn("near", F.lit(True))
         out = routed.groupBy(*keys).agg(*(F.max(c).alias(c) for c in ("copied", "coverage", "covered")))
-        return out.join(near, keys, "left").withColumn("near", F.coalesce("near", F.lit(False)))
+        return out.join(merged(near), keys, "left").withColumn("near", F.coalesce("near", F.lit(False)))
 
     def _copied(self, batch: DataFrame) -> DataFrame:
         """Distinct (item, at) whose digest arrived earlier."""
-        digests = batch.where("digest is not null").select("item", "at", "digest").distinct()
+        digests = batch.where("digest is not null").select("item", "at", "digest")
         own = digests.groupBy("digest").agg(F.min("at").alias("first"))
         known = self.table("digests").select("digest", F.col("first").alias("before"))
-        own = own.join(known, "digest", "left").select("digest", F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known"))
+        own = own.join(merged(known), "digest", "left").select("digest", F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known"))
         own = materialize(own, "digests")  # a written side: a hot digest's rows can be split as a skewed join
         self._append("digests", own.where("not known").select("digest", "first"))
-        return digests.join(own, "digest").where("first < at").select("item", "at").distinct()
+        return digests.join(merged(own), "digest").where("first < at").select("item", "at").distinct()
 
     def _covered(self, batch: DataFrame, t: Fraction) -> DataFrame:
         """(item, at, coverage, covered) of the items with paragraphs.
@@ -248,7 +264,7 @@ class History:
         m = F.when(F.col("n") >= self.settings.min_words, F.col("n")).otherwise(NO_TEXT).alias("m")
         own = each.select("part", m, "at").groupBy("part").agg(F.min(F.struct("m", F.col("at").alias("first"))).alias("least"), F.min("at").alias("first"))
         known = self.table("parts").select("part", F.struct("m", "first").alias("known"), F.col("first").alias("before"))
-        seen = own.join(known, "part", "left").groupBy("part").agg(
+        seen = own.join(merged(known), "part", "left").groupBy("part").agg(
             F.first("least").alias("own"), F.min("known").alias("known"), F.min(F.least("first", "before")).alias("first")
         )
         seen = materialize(seen, "parts")
@@ -260,7 +276,7 @@ class History:
             & (F.col("s").cast("long") * (t.denominator + t.numerator) >= (F.col("n") + F.col(f"{x}.m")) * F.lit(t.numerator).cast("long"))
         )
         early = F.when(F.col("single"), (F.col("first") < F.col("at")).cast("int"))
-        return each.join(lookup, "part").groupBy("item", "at").agg(
+        return each.join(merged(lookup), "part").groupBy("item", "at").agg(
             F.avg(early).alias("coverage"), F.coalesce(F.bool_or(enough("own") | enough("known")), F.lit(False)).alias("covered")
         )
 
@@ -272,35 +288,37 @@ class History:
             F.first("bag").alias("bag"), F.min("at").alias("first"), F.min(F.xxhash64("bag", F.lit(1))).alias("proof"), F.max(F.xxhash64("bag", F.lit(1))).alias("other")
         )
         known = self.table("bags").select("bag_id", F.col("proof").alias("_proof"), F.col("first").alias("before"))
-        own = own.join(known, "bag_id", "left").join(left, "bag_id", "left").select(
+        own = own.join(merged(known), "bag_id", "left").join(merged(left), "bag_id", "left").select(
             "bag_id", "bag", "proof", F.least("first", "before").alias("first"), F.col("before").isNotNull().alias("known"),
             F.coalesce(F.col("open") <= F.least("first", "before"), F.lit(False)).alias("probe"),
             ((F.col("proof") != F.col("other")) | F.coalesce(F.col("proof") != F.col("_proof"), F.lit(False))).alias("clash"),
         )
         own = materialize(own, "bags")
-        if own.where("clash").limit(1).count():
+        clash, self._new_bags = own.agg(F.max("clash"), F.count_if(~F.col("known"))).first()
+        if clash:
             raise RuntimeError("two texts have one 64-bit hash")
         self._append("bags", own.where("not known").select("bag_id", "proof", "bag", "first"))
         self._append("keys", N.band_rows(own.where("probe or not known"), s.bands, s.rows, self.refining, s.threshold, roles=True))
 
         keys, bags = self.table("keys"), self.table("bags")
         probes = N.side(keys.where((F.col("batch") == self.number) & (F.col("role") >= 2)), "a")
-        met = probes.join(N.side(keys.where("role <> 2"), "b"), "key").where("bag_id_a <> bag_id_b")
+        met = probes.join(merged(N.side(keys.where("role <> 2"), "b")), "key").where("bag_id_a <> bag_id_b")
         pairs = met.where(N.sketches_allow(s.threshold)).select(F.col("bag_id_a").alias("a"), F.col("bag_id_b").alias("b"))
-        links = N.verified(pairs.distinct(), bags, s.threshold)
-        partner = links.join(bags.select(F.col("bag_id").alias("b"), "first"), "b").groupBy(F.col("a").alias("bag_id")).agg(F.min("first").alias("partner"))
-        earlier = materialize(own.select("bag_id", "first").join(partner, "bag_id", "left").select("bag_id", F.least("first", "partner").alias("earlier")), "earlier")
+        links = N.verified(pairs.distinct(), merged(bags), s.threshold)
+        partners = links.join(merged(bags.select(F.col("bag_id").alias("b"), "first")), "b").select(F.col("a").alias("bag_id"), "first")
+        earlier = own.select("bag_id", "first").unionByName(partners).groupBy("bag_id").agg(F.min("first").alias("earlier"))
+        earlier = materialize(earlier, "earlier")
         open_items = routed.where("bag_id is not null and not copied and not covered").select("item", "at", "bag_id")
-        return open_items.join(earlier, "bag_id").where("earlier < at").select("item", "at").distinct()
+        return open_items.join(merged(earlier), "bag_id").where("earlier < at").select("item", "at").distinct()
 
     def _refine(self) -> None:
         """Band keys that have become hot are stored refined from the next batch on; the order of elements is set once."""
         s, bags = self.settings, self.table("bags")
         sample = N.hot_sample(bags, s.hot)
-        n = bags.count()
+        n = self._n_bags = bags.count() if self._n_bags is None else self._n_bags + self._new_bags
         if n <= s.hot:
             return
-        ids = sample.select("bag_id")
+        ids = merged(sample.select("bag_id"))
         keys = N.hot_keys(self.table("keys").where("role <> 2").join(ids, "bag_id", "left_semi"), max(s.hot, 2 * s.bands * n // N.MAX_HOT_KEYS))
         if self.refining is not None:
             keys = np.union1d(keys, self.refining.keys)

@@ -16,7 +16,7 @@ from siltstone.llm.components import group_records, hash_to_min
 from siltstone.llm.history import History, Settings, check_in_batches
 from siltstone.llm.nearpairs import NearPairs, Refining, band_rows, candidates, near_duplicate_pairs, prefixes, same_class_pairs
 from siltstone.llm.survivors import Field, currency, cut_beginnings, precedences, survivors
-from siltstone.storage import materialize
+from siltstone.storage import materialize, read_bytes, write_bytes
 
 
 def roots_of(edges):
@@ -358,6 +358,32 @@ def test_history_outlives_sessions(spark, tmp_path):
     assert same(last.check(three, "three")) == expected[2] and same(last.check(two, "two")) == expected[1]
 
 
+def test_history_spares_the_driver(spark, tmp_path):
+    """A batch broadcasts no side of a join, makes the session's tables once and starts no job to read a file."""
+    sc, store = spark.sparkContext._jsc.sc(), spark._jsparkSession.sharedState().statusStore()
+
+    def executions():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        every = store.executionsList()
+        return {e.executionId(): e for e in (every.apply(i) for i in range(every.size()))}
+
+    def ran(f):
+        before = executions()
+        f()
+        return [e for i, e in executions().items() if i not in before]
+
+    write_bytes(spark, f"file://{tmp_path}/f", b"\x00text", keep=True)
+    assert not ran(lambda: read_bytes(spark, f"file://{tmp_path}/f")) and read_bytes(spark, f"file://{tmp_path}/f") == b"\x00text"
+    schema = "item string, digest string, text string, at long"
+    history = History(spark, settings=Settings(buckets=2))
+    for i in (1, 2):
+        batch = spark.createDataFrame(batch_rows(i), schema)
+        plans = [e.physicalPlanDescription() for e in ran(lambda: history.check(batch))]
+        assert plans and not [p for p in plans if "BroadcastExchange" in p or "DropTable" in p or "RepairTable" in p]
+    reopened = History(spark, history.path)
+    assert reopened._n_bags is None and reopened.table("bags").count() == history._n_bags == history.table("bags").count()
+
+
 def test_history_with_refined_keys(spark):
     """Texts kept before a key became hot are met by those that come after, and the other way round."""
     rows = template_texts(60, 20)
